@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opticart.operators import sales
+from opticart.operators import nested, sales, windows
 from opticart.params import DEFAULT, Params
 from opticart.session import ensure_checkpoint_dir
 from opticart.sources.conform import Tables
@@ -18,6 +18,11 @@ PRODUCTS = {
     "custom_buyer_spend": sales.custom_buyer_spend,
     "top_products_by_units": sales.top_products_by_units,
     "top_products_by_units_split": sales.top_products_by_units_split,
+    "searched_never_bought": nested.searched_never_bought,
+    "below_average_reviewers": nested.below_average_reviewers,
+    "quarterly_revenue_rank": windows.quarterly_revenue_rank,
+    "search_to_order_quartile": windows.search_to_order_quartile,
+    "country_efficiency": windows.country_efficiency,
 }
 
 
