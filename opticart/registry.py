@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opticart.operators import nested, sales, windows
+from opticart.operators import history, nested, overview, sales, windows
 from opticart.params import DEFAULT, Params
 from opticart.session import ensure_checkpoint_dir
 from opticart.sources.conform import Tables
@@ -23,6 +23,10 @@ PRODUCTS = {
     "quarterly_revenue_rank": windows.quarterly_revenue_rank,
     "search_to_order_quartile": windows.search_to_order_quartile,
     "country_efficiency": windows.country_efficiency,
+    "products_overview": overview.products_overview,
+    "top_rated_products": overview.top_rated_products,
+    "rating_gap": overview.rating_gap,
+    "customer_history": history.customer_history_all,
 }
 
 
