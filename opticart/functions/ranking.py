@@ -23,30 +23,39 @@ _LOCAL_BITS = 33   # monotonically_increasing_id = partition << 33 | row in part
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rn",
-                      total: str | None = None, partitions: int | None = None) -> DataFrame:
+                      total: str | None = None, partitions: int | None = None,
+                      by: Sequence[str] = ()) -> DataFrame:
     """Add ``name`` = 1-based position of each row in the total order.
 
-    With ``total`` set, also add the table's row count under that name.
+    With ``by`` (a few non-NULL group columns, e.g. a status) numbering
+    restarts per group. With ``total`` set, also add the (group's) row
+    count under that name.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    keys = [F.col(b) for b in by] + list(order)
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = ranged.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     tagged = (tagged.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS))
               .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))))
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # A table of at most `n` rows: a window without partitioning is fine here.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # A range partition may hold the end of one group and the start of the
+    # next; rows of a group are contiguous in it, so rebase on its first row.
+    counts = tagged.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n"),
+                                               F.min("_local").alias("_base"))
+    # At most (groups x n) rows, a proven bound: windows over it are cheap
+    # and the table is safe to broadcast.
+    before = (Window.partitionBy(*by).orderBy("_part")
+              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(
-        "_part",
+        *by, "_part", "_base",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-        F.sum("_n").over(Window.partitionBy()).alias("_total"))
-    out = (tagged.join(F.broadcast(offsets), "_part")
-           .withColumn(name, F.col("_off") + F.col("_local") + F.lit(1)))
+        F.sum("_n").over(Window.partitionBy(*by)).alias("_total"))
+    out = (tagged.join(F.broadcast(offsets), [*by, "_part"])
+           .withColumn(name, F.col("_off") + F.col("_local") - F.col("_base") + F.lit(1)))
     if total:
         out = out.withColumnRenamed("_total", total)
-    return out.drop("_mid", "_part", "_local", "_off", "_total")
+    return out.drop("_mid", "_part", "_local", "_base", "_off", "_total")
 
 
 def ntile_of(rank: Column, total: Column, k: int) -> Column:

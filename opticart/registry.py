@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opticart.operators import history, nested, overview, sales, windows
+from opticart.operators import (annual, discounts, history, intake, nested, overview, sales,
+                                totals, windows)
 from opticart.params import DEFAULT, Params
 from opticart.session import ensure_checkpoint_dir
 from opticart.sources.conform import Tables
@@ -27,6 +28,15 @@ PRODUCTS = {
     "top_rated_products": overview.top_rated_products,
     "rating_gap": overview.rating_gap,
     "customer_history": history.customer_history_all,
+    "order_totals": totals.order_totals_all,
+    "apply_line_deltas": totals.plain_deltas_applied,
+    "apply_custom_line_deltas": totals.custom_deltas_applied,
+    "delete_latest_order_lines": totals.remaining_after_returns,
+    "low_seller_discounts": discounts.low_seller_discounts,
+    "product_annual_stats": annual.product_annual_stats,
+    "revenue_vs_target": totals.revenue_by_year,
+    "units_by_year_pivot": annual.units_by_year_pivot,
+    "customer_intake": intake.customer_intake,
 }
 
 
