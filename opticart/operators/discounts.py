@@ -41,7 +41,9 @@ def low_seller_discounts(t: Tables, p: Params = DEFAULT) -> DataFrame:
     bounds = (stats.where(F.col("_idle"))
               .agg(F.struct(F.max("_ratio").alias("hi"), F.min("_ratio").alias("lo")))
               .scalar())
-    hi, lo = bounds.getField("hi"), bounds.getField("lo")
+    # Project the subquery once; the expression below reads its fields.
+    stats = stats.withColumn("_b", bounds)
+    hi, lo = F.col("_b.hi"), F.col("_b.lo")
     lower, upper = F.lit(p.lower_discount), F.lit(p.upper_discount)
     scaled = F.when(hi == lo, upper).otherwise(
         lower + ((F.col("_ratio") - lo) / F.when(hi - lo != 0, hi - lo)) * (upper - lower))
