@@ -72,7 +72,8 @@ def ntile_of(rank: Column, total: Column, k: int) -> Column:
         m + F.call_function("div", rank - 1 - big, small) + 1).cast("int")
 
 
-def global_ntile(df: DataFrame, k: int, order: Sequence[Column], name: str = "ntile") -> DataFrame:
-    ranked = global_row_number(df, order, "_rank", total="_rows")
+def global_ntile(df: DataFrame, k: int, order: Sequence[Column], name: str = "ntile",
+                 partitions: int | None = None) -> DataFrame:
+    ranked = global_row_number(df, order, "_rank", total="_rows", partitions=partitions)
     return ranked.withColumn(name, ntile_of(F.col("_rank"), F.col("_rows"), k)).drop(
         "_rank", "_rows")
