@@ -29,20 +29,22 @@ def _sign() -> F.Column:
 
 # ------------------------------------------------------------------ D13
 def order_totals(t: Tables, plain: DataFrame | None = None,
-                 glasses: DataFrame | None = None) -> DataFrame:
+                 glasses: DataFrame | None = None, geo: bool = True) -> DataFrame:
     """Every order with total_amount recomputed from its lines.
 
     Lines are priced (customised ones with their options' extras, no
     VERSIONS join) and reduced per order, then left-joined to all orders,
-    so orders without lines get 0.
+    so orders without lines get 0. ``geo=False`` leaves out the country
+    (and with it the fixture's customer join) for readers that do not use it.
     """
     plain = t.ordered if plain is None else plain
     glasses = t.glasses_ordered if glasses is None else glasses
     per_order = stored_line_amounts(t, plain, glasses).groupBy("order_id").agg(
         F.sum("amount").alias("_sum"))
-    return t.orders_geo.join(per_order, "order_id", "left").select(
-        "order_id", "order_date", "card_number", "country",
-        F.coalesce(F.col("_sum"), F.lit(0)).cast(TOTAL).alias("total_amount"))
+    orders = t.orders_geo if geo else t.orders
+    cols = ["order_id", "order_date", "card_number"] + (["country"] if geo else [])
+    return orders.join(per_order, "order_id", "left").select(
+        *cols, F.coalesce(F.col("_sum"), F.lit(0)).cast(TOTAL).alias("total_amount"))
 
 
 def order_totals_all(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -182,4 +184,4 @@ def revenue_vs_target(totals: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 def revenue_by_year(t: Tables, p: Params = DEFAULT) -> DataFrame:
-    return revenue_vs_target(order_totals(t), p)
+    return revenue_vs_target(order_totals(t, geo=False), p)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from opticart.functions.blocks import gap_span, positive
 from opticart.functions.numeric import idiv, money_cents, round_ratio
 from opticart.functions.ranking import global_ntile
-from opticart.operators.common import order_revenue
+from opticart.operators.common import grouped_revenue
 from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
 
@@ -21,17 +21,18 @@ MONEY_OUT = "decimal(38,2)"
 def quarterly_revenue_rank(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Revenue per (year, quarter), its rank in the year, same quarter last year.
 
-    Lines are priced and reduced per order, joined to the orders of the
-    look-back window (a pushed range filter) and reduced to at most a few
-    dozen (year, quarter) rows; the two windows run on that small result.
+    Lines are joined to the orders of the look-back window (a pushed range
+    filter), units are reduced per (year, quarter, product, version) before
+    pricing, and the result has at most a few dozen (year, quarter) rows;
+    the two windows run on that small result.
     LAG is the previous *present* year, and the oldest year in the window
     has none.
     """
     start = dt.date(p.as_of.year - p.revenue_lookback_years, 1, 1)
-    orders = t.orders.where(F.col("order_date") >= F.lit(start)).select("order_id", "order_date")
-    q = (order_revenue(t).join(orders, "order_id")
-         .groupBy(F.year("order_date").alias("year"), F.quarter("order_date").alias("quarter"))
-         .agg(F.sum("revenue").cast(MONEY_OUT).alias("quarterly_revenue")))
+    orders = t.orders.where(F.col("order_date") >= F.lit(start)).select(
+        "order_id", F.year("order_date").alias("year"), F.quarter("order_date").alias("quarter"))
+    q = grouped_revenue(t, orders, ["year", "quarter"]).select(
+        "year", "quarter", F.col("revenue").cast(MONEY_OUT).alias("quarterly_revenue"))
     by_year = Window.partitionBy("year").orderBy(F.col("quarterly_revenue").desc())
     by_quarter = Window.partitionBy("quarter").orderBy("year")
     prev = F.lag("quarterly_revenue").over(by_quarter)
@@ -98,11 +99,10 @@ def country_efficiency(t: Tables, p: Params = DEFAULT) -> DataFrame:
               .groupBy("country").agg(
                   F.countDistinct("customer_id").alias("active_customers"),
                   F.countDistinct("order_id").alias("total_orders")))
-    revenue = (og.select("order_id", "country")
-               .join(order_revenue(t), "order_id", "left")
-               .groupBy("country").agg(
-                   F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue")))
-    combined = (gaps.join(counts, "country").join(revenue, "country")
+    # Countries whose orders have no lines keep revenue 0 (left join).
+    revenue = grouped_revenue(t, og.select("order_id", "country"), ["country"])
+    combined = (gaps.join(counts, "country").join(revenue, "country", "left")
+                .withColumn("total_revenue", F.coalesce(F.col("revenue"), F.lit(0)))
                 .withColumn("_cents", money_cents(F.col("total_revenue"))))
     # One row per surviving country: the window total runs on a tiny input.
     all_cents = F.sum("_cents").over(Window.partitionBy())

@@ -63,3 +63,15 @@ def test_single_customer_history_equals_filtered_all(tables):
     every = history.customer_history(tables).where(F.col("customer_id") == 3).drop("customer_id")
     assert sorted(one.collect()) == sorted(every.collect())
     assert one.count() > 0
+
+
+def test_snapshot_roundtrip_is_idempotent(spark, tables):
+    from opticart.session import shared_path
+    from opticart.sources.sinks import read_snapshot, write_snapshot
+    root = shared_path(spark, "snapshots")
+    ot = totals.order_totals(tables)
+    write_snapshot(ot, root, 1)
+    write_snapshot(ot, root, 1)          # a retried write replaces its own version
+    back = read_snapshot(spark, root, 1)
+    assert back.count() == ot.count()
+    assert as_map(back) == as_map(ot)
