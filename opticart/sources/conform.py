@@ -27,9 +27,13 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        """The driver table ``name``; listed and its schema read once per instance."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self._raw[name]
 
     # ---------------------------------------------------------- dimensions
     @cached_property

@@ -86,8 +86,11 @@ def start_totals_stream(spark: SparkSession, t: Tables, feed_path: str, out_path
                         checkpoint: str, extras_path: str,
                         max_files_per_trigger: int = 4, available_now: bool = True):
     """Start the streaming query; returns the StreamingQuery."""
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # One state row per order: prefer the RocksDB store (off-heap, spills to
+    # disk) unless the session already chose a provider other than the default.
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, "").endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, ROCKSDB)
     extras = materialize_extras(t, extras_path)
     feed = (spark.readStream.schema(FEED_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(feed_path))
