@@ -54,10 +54,13 @@ def change_feed(t: Tables) -> list[DataFrame]:
     ]
 
 
-def write_feed(chunks: list[DataFrame], path: str) -> str:
+def write_feed(chunks: list[DataFrame], path: str) -> list[int]:
+    """Append the chunks in arrival order; returns the file count after each."""
+    counts = []
     for chunk in chunks:
         chunk.write.mode("append").parquet(path)
-    return path
+        counts.append(len(chunk.sparkSession.read.schema(FEED_SCHEMA).parquet(path).inputFiles()))
+    return counts
 
 
 def materialize_extras(t: Tables, path: str) -> DataFrame:
@@ -84,7 +87,7 @@ def signed_amounts(feed: DataFrame, products: DataFrame, extras: DataFrame) -> D
 
 def start_totals_stream(spark: SparkSession, t: Tables, feed_path: str, out_path: str,
                         checkpoint: str, extras_path: str,
-                        max_files_per_trigger: int = 4, available_now: bool = True):
+                        max_files_per_trigger: int = 1000, available_now: bool = True):
     """Start the streaming query; returns the StreamingQuery."""
     # One state row per order: prefer the RocksDB store (off-heap, spills to
     # disk) unless the session already chose a provider other than the default.
@@ -114,21 +117,29 @@ def read_totals(spark: SparkSession, out_path: str) -> DataFrame:
         F.max_by("total_amount", "batch_id").alias("total_amount"))
 
 
-def stream_order_totals(t: Tables, p=None) -> DataFrame:
-    """D16 over the data: replay the change feed through the stream and
-    return every order with its maintained total (0 when it has none).
-
-    Equals D13 on the final lines (fulfilled-not-returned plus open)."""
+def replay_change_feed(t: Tables) -> str:
+    """Write the data's change feed to the shared folder, run the stream to
+    the end of it (availableNow) and return the sink folder."""
     spark = t.spark
     feed_path = shared_path(spark, "feeds")
     base = shared_path(spark, "stream")
-    write_feed(change_feed(t), feed_path)
+    counts = write_feed(change_feed(t), feed_path)
+    # One trigger takes as many files as the first arrival wrote, so the
+    # stored lines form the first micro-batch and the changes follow.
     q = start_totals_stream(spark, t, feed_path, f"{base}/totals", f"{base}/checkpoint",
-                            f"{base}/extras")
+                            f"{base}/extras", max_files_per_trigger=max(counts[0], 1))
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    totals = read_totals(spark, f"{base}/totals")
+    return f"{base}/totals"
+
+
+def stream_order_totals(t: Tables, p=None, sink: str | None = None) -> DataFrame:
+    """D16 over the data: replay the change feed through the stream and
+    return every order with its maintained total (0 when it has none).
+
+    Equals D13 on the final lines (fulfilled-not-returned plus open)."""
+    totals = read_totals(t.spark, sink or replay_change_feed(t))
     return t.orders_geo.join(totals, "order_id", "left").select(
         "order_id", "order_date", "card_number", "country",
         F.coalesce(F.col("total_amount"), F.lit(0)).cast(TOTAL).alias("total_amount"))
