@@ -28,7 +28,7 @@ def products_overview(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
     Every measure is one pre-aggregate keyed by product_id, left-joined to
     the products once; the reference's correlated subqueries per product
-    become grouped aggregates over one lines-to-orders join:
+    become one grouped aggregate over one lines-to-orders join:
       * total_orders counts lines of both tables, total_units sums them;
       * the mean order gap telescopes over the product's distinct dated
         orders: span / (distinct orders - 1);
@@ -37,16 +37,28 @@ def products_overview(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """
     lines = all_lines(t.ordered, t.glasses_ordered)
     orders = t.orders_geo.select("order_id", "order_date", "country", F.lit(True).alias("_hit"))
-    joined = lines.join(orders, "order_id", "left")
-    per_product = joined.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        F.sum("units").alias("total_units"),
-        F.datediff(F.max("order_date"), F.min("order_date")).alias("_span"),
-        F.countDistinct(F.when(F.col("order_date").isNotNull(), F.col("order_id"))).alias("_dated"))
-    by_country = (joined.where(F.col("_hit"))
-                  .groupBy("product_id", "country").agg(F.count(F.lit(1)).alias("_n")))
-    first = Window.partitionBy("product_id").orderBy(F.col("_n").desc(), F.col("country").asc())
-    top = (by_country.withColumn("_pos", F.row_number().over(first))
+    # One aggregate over the lines-to-orders join at (product, country)
+    # granularity serves every order measure: an order has one country, so
+    # distinct orders per product are the sum over its countries, and the
+    # top country is read from the same rows. Lines whose order is unknown
+    # form the (product, NULL) group with _hit NULL.
+    by_country = (lines.join(orders, "order_id", "left")
+                  .groupBy("product_id", "country", "_hit").agg(
+                      F.count(F.lit(1)).alias("_n"),
+                      F.sum("units").alias("_u"),
+                      F.max("order_date").alias("_last"),
+                      F.min("order_date").alias("_first"),
+                      F.countDistinct(F.when(F.col("order_date").isNotNull(), F.col("order_id")))
+                      .alias("_dated")))
+    per_product = by_country.groupBy("product_id").agg(
+        F.sum("_n").alias("total_orders"),
+        F.sum("_u").alias("total_units"),
+        F.datediff(F.max("_last"), F.min("_first")).alias("_span"),
+        F.sum("_dated").alias("_dated"))
+    first = Window.partitionBy("product_id").orderBy(F.col("_n").desc(),
+                                                     F.col("country").asc_nulls_last())
+    top = (by_country.where(F.col("_hit"))
+           .withColumn("_pos", F.row_number().over(first))
            .where(F.col("_pos") == 1).select("product_id", F.col("country").alias("top_country")))
     searches = t.searches_for_products.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("total_searches"))

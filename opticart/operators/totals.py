@@ -158,7 +158,9 @@ def delete_latest_order_lines(t: Tables, requests: DataFrame,
     the removed lines are the DELETED change set for D15.
     """
     lines = t.glasses_ordered if lines is None else lines
-    targets = (requests.join(resolve_emails(t), "email")
+    # NULL addresses match no customer; dropping them first keeps them from
+    # piling onto one join key.
+    targets = (requests.where(F.col("email").isNotNull()).join(resolve_emails(t), "email")
                .join(latest_orders(t), "customer_id")
                .select("order_id", *VKEY).distinct())
     keys = ["order_id", *VKEY]
