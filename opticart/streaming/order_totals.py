@@ -2,13 +2,25 @@
 
 The reference keeps ORDERS.Total_Amount current with AFTER INSERT/DELETE
 triggers on both line tables. Here the line changes arrive as files
-(op 'I' / 'D', kind 'plain' / 'glasses'); each micro-batch is priced by a
-stream-static join, signed, and folded into keyed running state
-(``groupBy(order_id).sum`` in update mode). ``foreachBatch`` writes the
-rows a batch updated under ``batch_id=<n>``; a retried batch overwrites
-its own folder, so the sink is idempotent. Readers take, per order, the
-value of the highest batch id. No watermark: orders never expire in the
-reference, so the state holds one row per order (RocksDB state store).
+(op 'I' / 'D', kind 'plain' / 'glasses'). Two sink modes:
+
+``deltas`` (default). Each micro-batch is handed to ``foreachBatch`` as a
+batch DataFrame, priced and reduced to signed per-order deltas, and
+appended under ``batch_id=<n>``. Because the pricing join runs as a batch
+job, AQE applies: a hot product or order is split, small sides are
+broadcast at runtime. No state store is needed. Readers sum the deltas per
+order (a partial aggregate); ``compact`` folds old batches into a base
+snapshot.
+
+``state``. The stream is priced by a stream-static join and folded into
+keyed running state (``groupBy(order_id).sum`` in update mode, RocksDB
+state store); ``foreachBatch`` writes the updated rows per batch and
+readers take the value of the highest batch id. Streaming plans run
+without AQE, so a hot key is not split in this mode.
+
+In both modes a retried batch overwrites its own folder, so the sink is
+idempotent and the query's checkpoint gives exactly-once totals. No
+watermark: orders never expire in the reference.
 """
 
 from __future__ import annotations
@@ -86,38 +98,76 @@ def signed_amounts(feed: DataFrame, products: DataFrame, extras: DataFrame) -> D
 
 
 def start_totals_stream(spark: SparkSession, t: Tables, feed_path: str, out_path: str,
-                        checkpoint: str, extras_path: str,
+                        checkpoint: str, extras_path: str, mode: str = "deltas",
                         max_files_per_trigger: int = 1000, available_now: bool = True):
     """Start the streaming query; returns the StreamingQuery."""
-    # One state row per order: prefer the RocksDB store (off-heap, spills to
-    # disk) unless the session already chose a provider other than the default.
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, "").endswith("HDFSBackedStateStoreProvider"):
-        spark.conf.set(key, ROCKSDB)
     extras = materialize_extras(t, extras_path)
     feed = (spark.readStream.schema(FEED_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(feed_path))
-    totals = signed_amounts(feed, t.products, extras).groupBy("order_id").agg(
-        F.sum("amount").alias("total_amount"))
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-
-    writer = (totals.writeStream.outputMode("update").foreachBatch(write_batch)
-              .option("checkpointLocation", checkpoint))
+    if mode == "deltas":
+        products = t.products.select("product_id", "price")
+
+        def write_batch(batch: DataFrame, batch_id: int) -> None:
+            deltas = signed_amounts(batch, products, extras).groupBy("order_id").agg(
+                F.sum("amount").alias("delta"))
+            deltas.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+        writer = feed.writeStream.foreachBatch(write_batch)
+    elif mode == "state":
+        # One state row per order: prefer the RocksDB store (off-heap, spills
+        # to disk) unless the session chose a provider other than the default.
+        key = "spark.sql.streaming.stateStore.providerClass"
+        if spark.conf.get(key, "").endswith("HDFSBackedStateStoreProvider"):
+            spark.conf.set(key, ROCKSDB)
+        totals = signed_amounts(feed, t.products, extras).groupBy("order_id").agg(
+            F.sum("amount").alias("total_amount"))
+
+        def write_state(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+        writer = totals.writeStream.outputMode("update").foreachBatch(write_state)
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="10 seconds")
     return writer.start()
 
 
-def read_totals(spark: SparkSession, out_path: str) -> DataFrame:
-    """(order_id, total_amount): the latest value per order (a partial aggregate)."""
-    updates = spark.read.parquet(out_path)
-    return updates.groupBy("order_id").agg(
-        F.max_by("total_amount", "batch_id").alias("total_amount"))
-
+def read_totals(spark: SparkSession, out_path: str, mode: str = "deltas",
+                base: DataFrame | None = None, after_batch: int | None = None) -> DataFrame:
+    """(order_id, total_amount) from the sink (a partial aggregate).
 
-def replay_change_feed(t: Tables) -> str:
+    ``deltas``: the sum of the batches' deltas; with a compacted ``base``
+    only batches after ``after_batch`` are added to it.
+    ``state``: the value written by the highest batch id.
+    """
+    updates = spark.read.parquet(out_path)
+    if after_batch is not None:
+        updates = updates.where(F.col("batch_id") > after_batch)
+    if mode == "state":
+        return updates.groupBy("order_id").agg(
+            F.max_by("total_amount", "batch_id").alias("total_amount"))
+    deltas = updates.select("order_id", F.col("delta").alias("total_amount"))
+    if base is not None:
+        deltas = deltas.unionByName(base.select("order_id", "total_amount"))
+    return deltas.groupBy("order_id").agg(F.sum("total_amount").alias("total_amount"))
+
+
+def compact(spark: SparkSession, out_path: str, upto_batch: int, snapshot_path: str,
+            base: DataFrame | None = None) -> DataFrame:
+    """Fold the deltas of batches <= upto_batch (and an older base) into a new
+    base snapshot; readers then combine it with the later batches only."""
+    updates = spark.read.parquet(out_path).where(F.col("batch_id") <= upto_batch)
+    folded = updates.select("order_id", F.col("delta").alias("total_amount"))
+    if base is not None:
+        folded = folded.unionByName(base.select("order_id", "total_amount"))
+    folded.groupBy("order_id").agg(F.sum("total_amount").alias("total_amount")) \
+        .write.mode("overwrite").parquet(snapshot_path)
+    return spark.read.parquet(snapshot_path)
+
+
+def replay_change_feed(t: Tables, mode: str = "deltas") -> str:
     """Write the data's change feed to the shared folder, run the stream to
     the end of it (availableNow) and return the sink folder."""
     spark = t.spark
@@ -127,19 +177,21 @@ def replay_change_feed(t: Tables) -> str:
     # One trigger takes as many files as the first arrival wrote, so the
     # stored lines form the first micro-batch and the changes follow.
     q = start_totals_stream(spark, t, feed_path, f"{base}/totals", f"{base}/checkpoint",
-                            f"{base}/extras", max_files_per_trigger=max(counts[0], 1))
+                            f"{base}/extras", mode=mode,
+                            max_files_per_trigger=max(counts[0], 1))
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     return f"{base}/totals"
 
 
-def stream_order_totals(t: Tables, p=None, sink: str | None = None) -> DataFrame:
+def stream_order_totals(t: Tables, p=None, sink: str | None = None,
+                        mode: str = "deltas") -> DataFrame:
     """D16 over the data: replay the change feed through the stream and
     return every order with its maintained total (0 when it has none).
 
     Equals D13 on the final lines (fulfilled-not-returned plus open)."""
-    totals = read_totals(t.spark, sink or replay_change_feed(t))
+    totals = read_totals(t.spark, sink or replay_change_feed(t, mode), mode)
     return t.orders_geo.join(totals, "order_id", "left").select(
         "order_id", "order_date", "card_number", "country",
         F.coalesce(F.col("total_amount"), F.lit(0)).cast(TOTAL).alias("total_amount"))
