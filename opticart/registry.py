@@ -45,7 +45,7 @@ PRODUCTS = {
 def _bind(fn, params: Params) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
-        return fn(Tables(spark, sf_dir), params)
+        return fn(Tables.cached(spark, sf_dir), params)
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run

@@ -24,6 +24,17 @@ def _div(a: Column, b: int) -> Column:
 class Tables:
     """Conformed tables of one data set (one folder of driver parquet)."""
 
+    _shared: dict[tuple[str, str], "Tables"] = {}
+
+    @classmethod
+    def cached(cls, spark: SparkSession, root: str) -> "Tables":
+        """One instance per (application, folder): the conformed DataFrames
+        are listed and analysed once and reused by every product."""
+        key = (spark.sparkContext.applicationId, root.rstrip("/"))
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, root)
+        return cls._shared[key]
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
