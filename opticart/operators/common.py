@@ -10,23 +10,6 @@ from opticart.functions.blocks import (VKEY, price_glasses_lines, price_plain_li
 from opticart.sources.conform import Tables
 
 
-def line_revenue(t: Tables) -> DataFrame:
-    """(order_id, product_id, units, revenue) of every line, both tables.
-
-    Plain lines: units * price. Customised lines: units * (price + extras),
-    priced through VERSIONS (the quarterly and country reports' form).
-    """
-    ext = version_extras(t.selected, t.customizations)
-    vp = version_prices(t.versions, t.products, ext)
-    plain = price_plain_lines(t.ordered, t.products).select(
-        "order_id", "product_id", "units",
-        (F.col("units") * F.col("unit_price")).alias("revenue"))
-    glasses = t.glasses_ordered.join(vp, VKEY).select(
-        "order_id", "product_id", "units",
-        (F.col("units") * F.col("total_price")).alias("revenue"))
-    return plain.unionByName(glasses)
-
-
 def grouped_revenue(t: Tables, keyed_orders: DataFrame, keys: list[str]) -> DataFrame:
     """(keys..., revenue) for lines of the given orders, grouped by ``keys``.
 
@@ -49,11 +32,6 @@ def grouped_revenue(t: Tables, keyed_orders: DataFrame, keys: list[str]) -> Data
     return plain.unionByName(glasses).groupBy(*keys).agg(F.sum("revenue").alias("revenue"))
 
 
-def order_revenue(t: Tables) -> DataFrame:
-    """(order_id, revenue): lines reduced per order (partial aggregation)."""
-    return line_revenue(t).groupBy("order_id").agg(F.sum("revenue").alias("revenue"))
-
-
 def stored_line_amounts(t: Tables, plain: DataFrame, glasses: DataFrame) -> DataFrame:
     """(order_id, amount) per line, priced as the stored order total is.
 

@@ -142,7 +142,7 @@ def latest_orders(t: Tables) -> DataFrame:
 def return_requests(t: Tables) -> DataFrame:
     """Requests (email, product_id, version) derived from the data: customers
     ask to take returned customised items off their latest order."""
-    returned = t._lines(True).where(F.col("return_flag") == "R").select(
+    returned = t.lines_with_status(True).where(F.col("return_flag") == "R").select(
         "order_id", "product_id", "version")
     return (returned.join(t.orders.select("order_id", "card_number"), "order_id")
             .join(t.credit_cards, "card_number")

@@ -6,6 +6,8 @@ string, the same output a Spark user reads.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 from dataclasses import dataclass, field
 
@@ -14,8 +16,10 @@ from pyspark.sql import DataFrame
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """The text ``df.explain(mode)`` prints (captured instead of printed)."""
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode=mode)
+    return out.getvalue()
 
 
 @dataclass

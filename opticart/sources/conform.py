@@ -136,7 +136,8 @@ class Tables:
         )
 
     # --------------------------------------------------------------- lines
-    def _lines(self, glasses: bool) -> DataFrame:
+    def lines_with_status(self, glasses: bool) -> DataFrame:
+        """Plain or customised lines with their line status and return flag."""
         part = F.col("l_partkey")
         kind = (part % 3 == 0) if glasses else (part % 3 != 0)
         cols = [F.col("l_orderkey").alias("order_id"), part.alias("product_id")]
@@ -149,11 +150,11 @@ class Tables:
 
     @cached_property
     def ordered(self) -> DataFrame:
-        return self._lines(False).select("order_id", "product_id", "units")
+        return self.lines_with_status(False).select("order_id", "product_id", "units")
 
     @cached_property
     def glasses_ordered(self) -> DataFrame:
-        return self._lines(True).select("order_id", "product_id", "version", "units")
+        return self.lines_with_status(True).select("order_id", "product_id", "version", "units")
 
     @cached_property
     def versions(self) -> DataFrame:
@@ -214,11 +215,11 @@ class Tables:
     # back (return flag 'R').
     def line_base(self, glasses: bool) -> DataFrame:
         cols = ["order_id", "product_id"] + (["version"] if glasses else []) + ["units"]
-        return self._lines(glasses).where(F.col("line_status") == "F").select(*cols)
+        return self.lines_with_status(glasses).where(F.col("line_status") == "F").select(*cols)
 
     def line_changes(self, glasses: bool) -> DataFrame:
         cols = ["order_id", "product_id"] + (["version"] if glasses else []) + ["units"]
-        lines = self._lines(glasses)
+        lines = self.lines_with_status(glasses)
         op = (F.when(F.col("line_status") == "O", F.lit("I"))
               .when(F.col("return_flag") == "R", F.lit("D")))
         return lines.select(op.alias("op"), *cols).where(F.col("op").isNotNull())
@@ -226,6 +227,6 @@ class Tables:
     def line_final(self, glasses: bool) -> DataFrame:
         """Lines after the change set: fulfilled-not-returned plus open."""
         cols = ["order_id", "product_id"] + (["version"] if glasses else []) + ["units"]
-        lines = self._lines(glasses)
+        lines = self.lines_with_status(glasses)
         keep = (F.col("line_status") == "O") | (F.col("return_flag") != "R")
         return lines.where(keep).select(*cols)
