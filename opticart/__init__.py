@@ -1,4 +1,4 @@
-"""opticart: retail analytics for customisable eyewear, written as Spark jobs.
+"""opticart: retail analytics for customisable glasses, written as Spark jobs.
 
 Every data product is a function from conformed DataFrames to a DataFrame.
 Plans are declared with the DataFrame API and left to Catalyst and AQE;
