@@ -20,7 +20,9 @@ def customer_feed(t: Tables) -> DataFrame:
                               "first_name", "last_name", "email")
 
 
-def customer_intake(t: Tables, p: Params = DEFAULT, feed: DataFrame | None = None) -> DataFrame:
+def customer_intake(t: Tables, p: Params = DEFAULT, feed: DataFrame | None = None,
+                    existing_ids: DataFrame | None = None,
+                    logged_ids: DataFrame | None = None) -> DataFrame:
     """Run the whole feed through the e-mail rules in one job.
 
     The reference's procedure handles one row per call: the first failing
@@ -30,19 +32,28 @@ def customer_intake(t: Tables, p: Params = DEFAULT, feed: DataFrame | None = Non
     rows get max(existing id) + their rank among accepted rows, rejected
     rows get log ids 1, 2, ... in order. Both ranks come from one global
     range ranking per status (no single-partition window).
+
+    ``existing_ids`` (customer_id) and ``logged_ids`` (log_id) extend the
+    customer table and the error log, e.g. with rows accepted or logged by
+    earlier micro-batches of a stream.
     """
     feed = customer_feed(t) if feed is None else feed
     code = email_error_code(F.col("email"), p.allowed_suffixes)
     staged = feed.withColumn("error_number", code).withColumn(
         "status", F.when(F.col("error_number").isNull(), F.lit(ACCEPTED)).otherwise(F.lit(REJECTED)))
     ranked = global_row_number(staged, [F.col("feed_seq")], "_seq", by=["status"])
-    base_id = t.customers.agg(F.coalesce(F.max("customer_id"), F.lit(0)).cast("bigint")).scalar()
+    ids = t.customers.select("customer_id")
+    if existing_ids is not None:
+        ids = ids.unionByName(existing_ids.select("customer_id"))
+    base_id = ids.agg(F.coalesce(F.max("customer_id"), F.lit(0)).cast("bigint")).scalar()
+    log_base = (logged_ids.agg(F.coalesce(F.max("log_id"), F.lit(0)).cast("bigint")).scalar()
+                if logged_ids is not None else F.lit(0))
     accepted = F.col("status") == ACCEPTED
     return ranked.select(
         "feed_seq", "status",
         F.when(accepted, base_id + F.col("_seq")).alias("customer_id"),
         "first_name", "last_name", "email",
-        F.when(~accepted, F.col("_seq")).cast("int").alias("log_id"),
+        F.when(~accepted, log_base + F.col("_seq")).cast("int").alias("log_id"),
         F.col("error_number").cast("int").alias("error_number"),
         email_error_message(F.col("error_number")).alias("error_description"),
         F.when(~accepted, F.lit(p.as_of).cast("timestamp_ntz")).alias("log_date"))

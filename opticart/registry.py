@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from opticart.operators import (annual, discounts, history, intake, nested, overview, sales,
                                 totals, windows)
 from opticart.params import DEFAULT, Params
+from opticart.streaming import intake as intake_stream
 from opticart.streaming import order_totals as streaming
 from opticart.session import ensure_checkpoint_dir
 from opticart.sources.conform import Tables
@@ -39,6 +40,7 @@ PRODUCTS = {
     "units_by_year_pivot": annual.units_by_year_pivot,
     "customer_intake": intake.customer_intake,
     "stream_order_totals": streaming.stream_order_totals,
+    "customer_intake_stream": intake_stream.customer_intake_stream,
 }
 
 

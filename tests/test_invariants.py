@@ -86,3 +86,12 @@ def test_snapshot_roundtrip_is_idempotent(spark, tables):
     back = read_snapshot(spark, root, 1)
     assert back.count() == ot.count()
     assert as_map(back) == as_map(ot)
+
+
+def test_streamed_intake_equals_batch_intake(spark, tables):
+    from opticart.streaming import intake as intake_stream
+    sink = intake_stream.replay_customer_feed(tables)
+    assert spark.read.parquet(sink).select("batch_id").distinct().count() > 1
+    streamed = intake_stream.customer_intake_stream(tables, sink=sink)
+    batch = intake.customer_intake(tables)
+    assert sorted(streamed.collect()) == sorted(batch.select(*streamed.columns).collect())
