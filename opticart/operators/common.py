@@ -14,20 +14,24 @@ def grouped_revenue(t: Tables, keyed_orders: DataFrame, keys: list[str]) -> Data
     """(keys..., revenue) for lines of the given orders, grouped by ``keys``.
 
     ``keyed_orders`` maps order_id to the group keys (e.g. year and quarter,
-    or country). Units are summed per (keys, product[, version]) before the
-    price join, so lines move once (to their order) and only a small
-    aggregate meets the product and version price tables. Exact: the sum of
-    units times a price equals the sum of the line amounts.
+    or country). Both line tables meet the orders in one join, and units
+    are summed per (keys, kind, product, version) before pricing, so lines
+    move once (to their order) and only a small aggregate meets the product
+    and version price tables. Exact: the sum of units times a price equals
+    the sum of the line amounts.
     """
     ext = version_extras(t.selected, t.customizations)
     vp = version_prices(t.versions, t.products, ext)
-    plain = (t.ordered.join(keyed_orders, "order_id")
-             .groupBy(*keys, "product_id").agg(F.sum("units").alias("_u"))
+    lines = (t.ordered.select("order_id", "product_id", F.lit(None).cast("int").alias("version"),
+                              "units", F.lit(False).alias("_custom"))
+             .unionByName(t.glasses_ordered.select("order_id", "product_id", "version", "units",
+                                                   F.lit(True).alias("_custom"))))
+    units = (lines.join(keyed_orders, "order_id")
+             .groupBy(*keys, "_custom", *VKEY).agg(F.sum("units").alias("_u")))
+    plain = (units.where(~F.col("_custom"))
              .join(t.products.select("product_id", "price"), "product_id")
              .select(*keys, (F.col("_u") * F.col("price")).alias("revenue")))
-    glasses = (t.glasses_ordered.join(keyed_orders, "order_id")
-               .groupBy(*keys, *VKEY).agg(F.sum("units").alias("_u"))
-               .join(vp, VKEY)
+    glasses = (units.where(F.col("_custom")).join(vp, VKEY)
                .select(*keys, (F.col("_u") * F.col("total_price")).alias("revenue")))
     return plain.unionByName(glasses).groupBy(*keys).agg(F.sum("revenue").alias("revenue"))
 

@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opticart.functions.blocks import gap_span, positive
+from opticart.functions.blocks import positive
 from opticart.functions.numeric import idiv, money_cents, round_ratio
 from opticart.functions.ranking import global_ntile
 from opticart.operators.common import grouped_revenue
@@ -88,20 +88,28 @@ def country_efficiency(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
     Mean gap: telescoped LAG (span / (dated orders - 1)), a partial
     aggregate instead of one sorted window per country. Countries with
-    fewer than two dated orders and the NULL country drop out by the inner
-    joins, before the share's denominator is taken. Orders without a card
-    count in revenue, not in customers.
+    fewer than two dated orders or no carded order, and the NULL country,
+    drop out (the reference's inner joins) before the share's denominator
+    is taken. Orders without a card count in revenue, not in customers.
     """
     og = t.orders_geo
-    gaps = gap_span(og, ["country"], "order_date").where(F.col("n_gaps") > 0)
-    counts = (og.select("order_id", "card_number", "country")
-              .join(t.credit_cards, "card_number")
-              .groupBy("country").agg(
-                  F.countDistinct("customer_id").alias("active_customers"),
-                  F.countDistinct("order_id").alias("total_orders")))
+    # One pass over the orders: the card join cannot duplicate an order
+    # (card number is the cards' key), so the gap statistics over all dated
+    # orders and the distinct counts over carded orders share one aggregate.
+    # A country needs two dated orders (a gap) and one carded order.
+    facts = og.select("order_id", "order_date", "card_number", "country").join(
+        t.credit_cards, "card_number", "left")
+    stats = (facts.groupBy("country").agg(
+                 F.datediff(F.max("order_date"), F.min("order_date")).alias("span_days"),
+                 (F.count("order_date") - 1).alias("n_gaps"),
+                 F.countDistinct("customer_id").alias("active_customers"),
+                 F.countDistinct(F.when(F.col("customer_id").isNotNull(), F.col("order_id")))
+                 .alias("total_orders"))
+             .where(F.col("country").isNotNull()      # the reference's joins drop it
+                    & (F.col("n_gaps") > 0) & (F.col("total_orders") > 0)))
     # Countries whose orders have no lines keep revenue 0 (left join).
     revenue = grouped_revenue(t, og.select("order_id", "country"), ["country"])
-    combined = (gaps.join(counts, "country").join(revenue, "country", "left")
+    combined = (stats.join(revenue, "country", "left")
                 .withColumn("total_revenue", F.coalesce(F.col("revenue"), F.lit(0)))
                 .withColumn("_cents", money_cents(F.col("total_revenue"))))
     # One row per surviving country: the window total runs on a tiny input.
