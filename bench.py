@@ -1,7 +1,9 @@
 """Benchmark: every registered data product on one scale factor.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (warm runs per query, default 3), BENCH_QUERIES (comma list).
+BENCH_RUNS (warm runs per query, default 3), BENCH_QUERIES (comma list),
+BENCH_EVENT_LOG (a scratch folder: write Spark's event log there for
+stage and task times).
 Each query runs in full through the ``noop`` sink (nothing is collected to
 the driver); the per-query time is the median of the warm runs after one
 warm-up. Prints one JSON line on stdout.
@@ -27,9 +29,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     wanted = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    extra = {"spark.ui.showConsoleProgress": "false"}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        extra.update({"spark.eventLog.enabled": "true",
+                      "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
     spark = build_session(master=f"local[{cpus}]", app="opticart-bench",
-                          shuffle_partitions=cpus,
-                          extra={"spark.ui.showConsoleProgress": "false"})
+                          shuffle_partitions=cpus, extra=extra)
     queries = registry.queries()
     times: dict[str, float] = {}
     for name, fn in queries.items():
