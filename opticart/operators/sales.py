@@ -91,10 +91,12 @@ def top_products_by_units_split(t: Tables, p: Params = DEFAULT) -> DataFrame:
     lo, hi = _year_range(p.year)
     in_year = t.orders.where((F.col("order_date") >= F.lit(lo)) & (F.col("order_date") < F.lit(hi))
                              ).select("order_id")
-    lines = (t.ordered.select("order_id", "product_id", "units")
-             .unionByName(t.glasses_ordered.select("order_id", "product_id", "units")))
-    per_product = (lines.join(in_year, "order_id")
-                   .groupBy("product_id").agg(F.sum("units").alias("units")))
+    # Each line table meets the orders on its own (order-bucketed tables
+    # join without a shuffle; otherwise the orders side's exchange is reused).
+    lines = (t.ordered.select("order_id", "product_id", "units").join(in_year, "order_id")
+             .unionByName(t.glasses_ordered.select("order_id", "product_id", "units")
+                          .join(in_year, "order_id")))
+    per_product = lines.groupBy("product_id").agg(F.sum("units").alias("units"))
     return (t.products.select("product_id", "name").join(per_product, "product_id")
             .groupBy("name").agg(F.sum("units").cast("bigint").alias("amount"))
             .orderBy(F.col("amount").desc(), F.col("name"))
