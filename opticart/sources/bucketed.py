@@ -10,6 +10,11 @@ run once instead of in every product.
 
 Tables are registered in the session catalog as external tables whose
 files live under ``location`` (a shared folder on a cluster).
+
+A bucketed scan has no shuffle, so AQE cannot split a hot bucket. Order
+ids make good bucket keys because an order's lines are few; where one key
+could hold a large share of the rows, pass ``buckets=0`` to materialise
+without bucketing and keep the shuffle (and AQE's skew split).
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ def materialize(t: Tables, location: str, buckets: int, prefix: str = "opticart"
         df = t.orders_geo if name == "orders" else getattr(t, name)
         table = f"{prefix}_{name}"
         writer = df.write.mode("overwrite").option("path", f"{location}/{name}")
-        if name in CO_LOCATED:
+        if buckets and name in CO_LOCATED:
             writer = writer.bucketBy(buckets, "order_id").sortBy("order_id")
         writer.saveAsTable(table)
         frames[name] = spark.table(table)

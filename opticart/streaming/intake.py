@@ -30,6 +30,8 @@ FEED_SCHEMA = T.StructType([
 
 
 def _earlier(spark: SparkSession, sink: str, batch_id: int) -> DataFrame | None:
+    if batch_id == 0:                  # the first batch has no history
+        return None
     try:
         return spark.read.parquet(sink).where(F.col("batch_id") < batch_id)
     except AnalysisException:          # nothing written yet
