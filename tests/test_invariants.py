@@ -95,3 +95,23 @@ def test_streamed_intake_equals_batch_intake(spark, tables):
     streamed = intake_stream.customer_intake_stream(tables, sink=sink)
     batch = intake.customer_intake(tables)
     assert sorted(streamed.collect()) == sorted(batch.select(*streamed.columns).collect())
+
+
+def test_delete_path_feeds_totals_and_yearly_revenue(spark, tables):
+    """D17 removes lines -> D15 subtracts them from the stored totals -> the
+    snapshot is written -> D20 reads it; equals recomputing from the rest."""
+    from opticart.session import shared_path
+    from opticart.sources.sinks import read_snapshot, write_snapshot
+    t = tables
+    remaining, removed = totals.delete_latest_order_lines(t, totals.return_requests(t))
+    assert removed.count() > 0
+    stored = totals.order_totals(t)
+    changes = removed.select(F.lit("D").alias("op"), "order_id", "product_id", "version", "units")
+    updated = totals.apply_custom_line_deltas(stored, totals.custom_line_deltas(t, changes))
+    root = shared_path(spark, "order_totals")
+    write_snapshot(updated, root, 2)
+    snap = read_snapshot(spark, root, 2)
+    recomputed = totals.order_totals(t, t.ordered, remaining)
+    assert as_map(snap) == as_map(recomputed)
+    by_year = lambda df: sorted(totals.revenue_vs_target(df).collect())
+    assert by_year(snap) == by_year(recomputed)
