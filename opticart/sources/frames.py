@@ -8,7 +8,6 @@ way ``Tables`` computes them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 NAMES = ("products", "base_frames", "customers", "customizations", "credit_cards",
          "orders", "ordered", "glasses_ordered", "versions", "selected",
