@@ -126,14 +126,19 @@ def resolve_emails(t: Tables) -> DataFrame:
             .where(F.col("_n") == 1).drop("_n"))
 
 
-def latest_orders(t: Tables) -> DataFrame:
+def latest_orders(t: Tables, customers: DataFrame | None = None) -> DataFrame:
     """(customer_id, order_id) of each customer's most recent order.
 
     Latest by date, ties by the higher order id: a max over a
-    (date, id) struct, i.e. a partial aggregate instead of a sort.
+    (date, id) struct, i.e. a partial aggregate instead of a sort. With
+    ``customers`` (customer_id) only their cards, and so their orders, are
+    read into the aggregate.
     """
+    cards = t.credit_cards
+    if customers is not None:
+        cards = cards.join(customers.select("customer_id"), "customer_id", "left_semi")
     return (t.orders.select("order_id", "order_date", "card_number")
-            .join(t.credit_cards, "card_number")
+            .join(cards, "card_number")
             .groupBy("customer_id")
             .agg(F.max(F.struct("order_date", "order_id")).alias("_m"))
             .select("customer_id", F.col("_m.order_id").alias("order_id")))
@@ -159,9 +164,10 @@ def delete_latest_order_lines(t: Tables, requests: DataFrame,
     """
     lines = t.glasses_ordered if lines is None else lines
     # NULL addresses match no customer; dropping them first keeps them from
-    # piling onto one join key.
-    targets = (requests.where(F.col("email").isNotNull()).join(resolve_emails(t), "email")
-               .join(latest_orders(t), "customer_id")
+    # piling onto one join key. Only the requesters' orders are aggregated.
+    resolved = requests.where(F.col("email").isNotNull()).join(resolve_emails(t), "email")
+    requesters = resolved.select("customer_id").distinct()
+    targets = (resolved.join(latest_orders(t, requesters), "customer_id")
                .select("order_id", *VKEY).distinct())
     keys = ["order_id", *VKEY]
     return lines.join(targets, keys, "left_anti"), lines.join(targets, keys, "left_semi")
