@@ -69,3 +69,16 @@ def email_error_log(intake: DataFrame) -> DataFrame:
     """Rows to append to the e-mail error log."""
     return intake.where(F.col("status") == REJECTED).select(
         "log_id", F.col("email").alias("email_address"), "error_description", "log_date")
+
+
+def add_customer(t: Tables, first_name: str, last_name: str, email: str | None,
+                 p: Params = DEFAULT) -> DataFrame:
+    """The reference's one-row call: a feed of one row through the same job.
+
+    Returns the routed row (accepted with its new id, or rejected with its
+    error); append it with ``accepted_customers`` / ``email_error_log``.
+    """
+    feed = t.spark.createDataFrame([(1, first_name, last_name, email)],
+                                   "feed_seq long, first_name string, last_name string, "
+                                   "email string")
+    return customer_intake(t, p, feed=feed)

@@ -215,3 +215,11 @@ def test_delete_latest_order_rules(spark):
     # tie on date -> the higher order id is the latest; the shared address does nothing
     assert rows(removed, "order_id", "product_id", "version") == [(2, 7, 1)]
     assert remaining.count() == 3
+
+
+def test_add_customer_single_call(spark):
+    t = make(spark, customers=[(7, "a", "b", "x@y.com")])
+    ok = intake.add_customer(t, "Dana", "Levi", "dana@shop.org").first()
+    assert ok["status"] == "accepted" and ok["customer_id"] == 8
+    bad = intake.add_customer(t, "Dana", "Levi", "dana.shop.org").first()
+    assert bad["status"] == "rejected" and bad["error_number"] == 51001 and bad["log_id"] == 1
