@@ -75,18 +75,21 @@ def all_lines(ordered: DataFrame, glasses: DataFrame,
 
 
 # ------------------------------------------------------------------ B3
-def gap_span(df: DataFrame, keys: Sequence[str], date_col: str) -> DataFrame:
-    """Per group: ``span_days`` = datediff(max, min) and ``n_gaps`` = count - 1.
+def gap_aggregates(date_col: str, span: str = "span_days", gaps: str = "n_gaps") -> list[Column]:
+    """Aggregate expressions: ``span`` = datediff(max, min), ``gaps`` = count - 1.
 
     The LAG gaps of an ordered date list telescope, so their sum is the
-    span and their number is the count of non-NULL dates minus one. This
-    is a plain partial aggregate: no sort, no window, and a hot group
-    costs one row per map task.
+    span and their number is the count of non-NULL dates minus one. As
+    plain aggregates they join any other per-group aggregate: no sort, no
+    window, and a hot group costs one row per map task.
     """
-    return df.groupBy(*keys).agg(
-        F.datediff(F.max(date_col), F.min(date_col)).alias("span_days"),
-        (F.count(date_col) - F.lit(1)).alias("n_gaps"),
-    )
+    return [F.datediff(F.max(date_col), F.min(date_col)).alias(span),
+            (F.count(date_col) - F.lit(1)).alias(gaps)]
+
+
+def gap_span(df: DataFrame, keys: Sequence[str], date_col: str) -> DataFrame:
+    """Per group of ``keys``: the gap aggregates of ``date_col``."""
+    return df.groupBy(*keys).agg(*gap_aggregates(date_col))
 
 
 def positive(c: Column) -> Column:

@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opticart.functions.blocks import positive
+from opticart.functions.blocks import gap_aggregates, positive
 from opticart.functions.numeric import idiv, money_cents, round_ratio
 from opticart.functions.ranking import global_ntile
 from opticart.operators.common import grouped_revenue
@@ -54,9 +54,7 @@ def search_to_order_quartile(t: Tables, p: Params = DEFAULT) -> DataFrame:
     ranking (B4); customers without orders have a NULL ratio and rank last.
     """
     s = t.searches.groupBy("customer_id").agg(
-        F.countDistinct("dt").alias("number_of_searches"),
-        F.datediff(F.max("dt"), F.min("dt")).alias("span_days"),
-        (F.count("dt") - 1).alias("n_gaps"))
+        F.countDistinct("dt").alias("number_of_searches"), *gap_aggregates("dt"))
     o = (t.orders.select("order_id", "card_number")
          .join(t.credit_cards, "card_number")
          .groupBy("customer_id").agg(F.countDistinct("order_id").alias("number_of_orders")))
@@ -100,8 +98,7 @@ def country_efficiency(t: Tables, p: Params = DEFAULT) -> DataFrame:
     facts = og.select("order_id", "order_date", "card_number", "country").join(
         t.credit_cards, "card_number", "left")
     stats = (facts.groupBy("country").agg(
-                 F.datediff(F.max("order_date"), F.min("order_date")).alias("span_days"),
-                 (F.count("order_date") - 1).alias("n_gaps"),
+                 *gap_aggregates("order_date"),
                  F.countDistinct("customer_id").alias("active_customers"),
                  F.countDistinct(F.when(F.col("customer_id").isNotNull(), F.col("order_id")))
                  .alias("total_orders"))
