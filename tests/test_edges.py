@@ -105,7 +105,7 @@ def test_discount_scaling_and_fanout(spark):
 
 
 # ------------------------------------------------------ B4 global NTILE
-@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 7, 13, 41])
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 7, 13, 41])
 def test_global_ntile_equals_window_ntile(spark, n):
     df = spark.createDataFrame([(i, (i * 7) % 5) for i in range(n)], "id long, v long")
     order = [F.col("v").desc(), F.col("id")]
