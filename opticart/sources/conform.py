@@ -90,13 +90,14 @@ class Tables:
 
     @cached_property
     def customizations(self) -> DataFrame:
+        # The option catalogue is nation x region here (25 rows): hinted.
         key = F.col("n_nationkey")
-        return self._nation_region.select(
+        return F.broadcast(self._nation_region.select(
             F.col("r_name").alias("feature"),
             F.col("n_name").alias("selection"),
             F.when(key % 10 == 9, F.lit(None)).otherwise(key.cast(MONEY))
             .cast(MONEY).alias("extra_price"),
-        )
+        ))
 
     # -------------------------------------------------------------- orders
     @cached_property
