@@ -51,3 +51,41 @@ def test_hot_keys_match_oracle(skewed, name):
     fn = registry.PRODUCTS[name]
     sql = oracle.oracle_sql(derive_conformed=False)[name]
     same_result(fn(ft, registry.DEFAULT), con, sql)
+
+
+def test_aqe_splits_the_hot_product_join(spark, tables):
+    """With a third of the plain lines on one product, AQE splits that join
+    partition (SortMergeJoin(skew=true)) and the totals do not change. The
+    thresholds are scaled down to the test data; the input gets several map
+    tasks, as a multi-file input has, since splits follow map outputs."""
+    from opticart.operators import totals
+    from opticart.plans.inspect import plan_text
+    t = tables
+    hot = F.col("order_id") % 3 == 0
+    ft = FrameTables(spark, products=t.products, selected=t.selected,
+                     customizations=t.customizations, versions=t.versions, orders=t.orders_geo,
+                     ordered=t.ordered.withColumn("product_id", F.when(hot, F.lit(HOT_PRODUCT + 1))
+                                                  .otherwise(F.col("product_id"))).repartition(8),
+                     glasses_ordered=t.glasses_ordered)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        split = totals.order_totals(ft)
+        rows = sorted(split.collect())
+        assert "SortMergeJoin(skew=true)" in plan_text(split, "simple")
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+        assert sorted(totals.order_totals(ft).collect()) == rows
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
