@@ -67,7 +67,8 @@ def replay_customer_feed(t: Tables, p: Params = DEFAULT) -> str:
     feed_path, base = shared_path(spark, "intake-feed"), shared_path(spark, "intake")
     feed = customer_feed(t)
     # Arrival in two chunks by feed order: the first half, then the rest.
-    cut = feed.agg(F.percentile_approx("feed_seq", 0.5)).scalar()
+    # The cut is one number, fixed once so both chunks use the same value.
+    cut = feed.agg(F.percentile_approx("feed_seq", 0.5)).first()[0]
     first = feed.where(F.col("feed_seq") <= cut)
     first.write.mode("append").parquet(feed_path)
     n_first = len(spark.read.schema(FEED_SCHEMA).parquet(feed_path).inputFiles())
