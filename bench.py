@@ -11,6 +11,7 @@ warm-up. Prints one JSON line on stdout.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -47,6 +48,9 @@ def main() -> None:
             if i:  # the first run warms the JVM and the file cache
                 samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 3)
+        # Drop the Python handles of this query's plans so Spark's cleaner can
+        # release their shuffle files and broadcasts before the next one.
+        gc.collect()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "total_median_query_sec",
