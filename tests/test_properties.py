@@ -58,3 +58,92 @@ def test_global_row_number_equals_window(spark, data, parts):
     ours = global_row_number(df, order, "rn", partitions=parts, by=["g"])
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     assert sorted(ours.select("id", "rn").collect()) == sorted(ref.select("id", "rn").collect())
+
+
+# --------------------------------------------- closed forms vs literal SQL
+import datetime as dt  # noqa: E402
+from decimal import Decimal as D  # noqa: E402
+
+from opticart.operators import discounts, sales  # noqa: E402
+from opticart.params import Params  # noqa: E402
+from opticart.sources.frames import FrameTables  # noqa: E402
+
+ORDER_DAYS = [dt.date(1999, 6, 1), dt.date(2000, 3, 1), dt.date(2000, 11, 30), dt.date(2001, 2, 1)]
+line = st.tuples(st.integers(0, 7), st.integers(1, 4), st.integers(1, 9))   # order, product, units
+
+
+def _frames(spark, plain, custom, reviews=()):
+    products = [(i, f"n{i % 3}", D("1.00")) for i in range(1, 5)]
+    orders = [(i, ORDER_DAYS[i % 4], 1, "A") for i in range(6)]   # orders 6, 7 do not exist
+    return FrameTables(
+        spark,
+        products=spark.createDataFrame(products, "product_id long, name string, price decimal(12,2)"),
+        orders=spark.createDataFrame(
+            orders, "order_id long, order_date date, card_number long, country string"),
+        ordered=spark.createDataFrame(list(plain), "order_id long, product_id long, units int"),
+        glasses_ordered=spark.createDataFrame(
+            [(o, p, 1, u) for o, p, u in custom],
+            "order_id long, product_id long, version int, units int"),
+        reviews=spark.createDataFrame(
+            list(reviews), "review_id long, customer_id long, product_id long, rating int, "
+                           "review_date date"))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(line, max_size=12), st.lists(line, max_size=12))
+def test_top_products_closed_form_equals_literal(spark, plain, custom):
+    t = _frames(spark, plain, custom)
+    for name in ("products", "ordered", "glasses_ordered"):
+        getattr(t, name).createOrReplaceTempView(f"p_{name}")
+    t.orders_geo.createOrReplaceTempView("p_orders")
+    literal = spark.sql("""
+        SELECT pr.name, CAST(SUM(COALESCE(pl.units, 0) + COALESCE(cl.units, 0)) AS BIGINT) AS amount
+        FROM p_products pr
+        LEFT JOIN p_ordered pl ON pl.product_id = pr.product_id
+        LEFT JOIN p_orders po ON po.order_id = pl.order_id
+        LEFT JOIN p_glasses_ordered cl ON cl.product_id = pr.product_id
+        LEFT JOIN p_orders co ON co.order_id = cl.order_id
+        WHERE year(po.order_date) = 2000 OR year(co.order_date) = 2000
+        GROUP BY pr.name""")
+    ours = sales.top_products_by_units(t, Params(year=2000, top_n=100))
+    assert sorted(ours.collect()) == sorted(literal.collect())
+
+
+review = st.tuples(st.integers(1, 4), st.integers(1, 5))                   # product, rating
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(line, max_size=10), st.lists(review, max_size=8))
+def test_discount_fanout_identity_equals_literal(spark, plain, reviews):
+    rows = [(i, 1, p, r, dt.date(2000, 1, 1)) for i, (p, r) in enumerate(reviews)]
+    t = _frames(spark, plain, [], rows)
+    for name in ("products", "ordered", "reviews"):
+        getattr(t, name).createOrReplaceTempView(f"q_{name}")
+    t.orders_geo.createOrReplaceTempView("q_orders")
+    p = Params(as_of=dt.date(2001, 8, 1))
+    literal = spark.sql(f"""
+        WITH fanned AS (
+          SELECT pr.product_id, avg(CAST(rv.rating AS DOUBLE)) AS avg_rating,
+                 COALESCE(SUM(pl.units), 0) AS units,
+                 datediff(DATE '{p.as_of}', MAX(od.order_date)) AS idle
+          FROM q_products pr
+          LEFT JOIN q_reviews rv ON rv.product_id = pr.product_id
+          LEFT JOIN q_ordered pl ON pl.product_id = pr.product_id
+          LEFT JOIN q_orders od ON od.order_id = pl.order_id
+          GROUP BY pr.product_id)
+        SELECT product_id, CASE WHEN units = 0 THEN avg_rating ELSE avg_rating / units END AS ratio
+        FROM fanned WHERE idle >= {p.idle_days} OR idle IS NULL""")
+    ours = discounts.low_seller_discounts(t, p)
+    idle = {r["product_id"] for r in literal.collect()}
+    got = {r["product_id"] for r in ours.where("discount IS NOT NULL").collect()}
+    assert got <= idle
+    ratios = [r["ratio"] for r in literal.collect() if r["ratio"] is not None]
+    if ratios:
+        hi, lo = max(ratios), min(ratios)
+        for r in literal.collect():
+            if r["ratio"] is None and hi != lo:
+                continue
+            x = 0.5 if hi == lo else 0.1 + ((r["ratio"] - lo) / (hi - lo)) * (0.5 - 0.1)
+            want = (1 if x >= 0 else -1) * int(abs(x) * 100 + 0.5) / 100
+            mine = ours.where(f"product_id = {r['product_id']}").first()["discount"]
+            assert mine == want
