@@ -19,7 +19,7 @@ def exact(n, d, s):
     return (Decimal(n) / Decimal(d)).quantize(Decimal(1).scaleb(-s), rounding=ROUND_HALF_UP)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(pairs, st.integers(0, 4))
 def test_round_ratio_is_exact_half_up(spark, cases, scale):
     df = spark.createDataFrame(cases, "n long, d long")
@@ -46,7 +46,7 @@ rows = st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["a", "b", "c"])),
                 min_size=1, max_size=60)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(rows, st.integers(1, 6))
 def test_global_row_number_equals_window(spark, data, parts):
     df = spark.createDataFrame([(i, v, g) for i, (v, g) in enumerate(data)],
@@ -89,7 +89,7 @@ def _frames(spark, plain, custom, reviews=()):
                            "review_date date"))
 
 
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(st.lists(line, max_size=12), st.lists(line, max_size=12))
 def test_top_products_closed_form_equals_literal(spark, plain, custom):
     t = _frames(spark, plain, custom)
@@ -112,7 +112,7 @@ def test_top_products_closed_form_equals_literal(spark, plain, custom):
 review = st.tuples(st.integers(1, 4), st.integers(1, 5))                   # product, rating
 
 
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(st.lists(line, max_size=10), st.lists(review, max_size=8))
 def test_discount_fanout_identity_equals_literal(spark, plain, reviews):
     rows = [(i, 1, p, r, dt.date(2000, 1, 1)) for i, (p, r) in enumerate(reviews)]
