@@ -48,6 +48,7 @@ def order_totals(t: Tables, plain: DataFrame | None = None,
 
 
 def order_totals_all(t: Tables, p: Params = DEFAULT) -> DataFrame:
+    """Every order with its total recomputed from all current lines."""
     return order_totals(t)
 
 
