@@ -22,26 +22,18 @@ def product_rating(t: Tables) -> DataFrame:
         ratio_double(F.sum("rating"), F.count("rating"), 2).alias("rating"))
 
 
-def products_overview(t: Tables, p: Params = DEFAULT) -> DataFrame:
-    """One row per product with rating, searches, orders, ratio,
-    mean days between its orders, units and top country.
-
-    Every measure is one pre-aggregate keyed by product_id, left-joined to
-    the products once; the reference's correlated subqueries per product
-    become one grouped aggregate over one lines-to-orders join:
-      * total_orders counts lines of both tables, total_units sums them;
-      * the mean order gap telescopes over the product's distinct dated
-        orders: span / (distinct orders - 1);
-      * top country: lines per (product, country), first by count desc,
-        then country; the window sees at most one row per country.
+def order_measures(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Per product (total_orders, total_units, _span, _dated) and its top country.
+
+    One aggregate over the lines-to-orders join at (product, country)
+    granularity serves every order measure: an order has one country, so
+    distinct orders per product are the sum over its countries, and the
+    top country is read from the same rows (count desc, then country; the
+    window sees at most one row per country). Lines whose order is unknown
+    form the (product, NULL) group with _hit NULL.
     """
     lines = all_lines(t.ordered, t.glasses_ordered)
     orders = t.orders_geo.select("order_id", "order_date", "country", F.lit(True).alias("_hit"))
-    # One aggregate over the lines-to-orders join at (product, country)
-    # granularity serves every order measure: an order has one country, so
-    # distinct orders per product are the sum over its countries, and the
-    # top country is read from the same rows. Lines whose order is unknown
-    # form the (product, NULL) group with _hit NULL.
     by_country = (lines.join(orders, "order_id", "left")
                   .groupBy("product_id", "country", "_hit").agg(
                       F.count(F.lit(1)).alias("_n"),
@@ -60,9 +52,25 @@ def products_overview(t: Tables, p: Params = DEFAULT) -> DataFrame:
     top = (by_country.where(F.col("_hit"))
            .withColumn("_pos", F.row_number().over(first))
            .where(F.col("_pos") == 1).select("product_id", F.col("country").alias("top_country")))
+    return per_product, top
+
+
+def products_overview(t: Tables, p: Params = DEFAULT) -> DataFrame:
+    """One row per product with rating, searches, orders, ratio,
+    mean days between its orders, units and top country.
+
+    Every measure is one pre-aggregate keyed by product_id, left-joined to
+    the products once; the reference's correlated subqueries per product
+    become grouped aggregates (``order_measures``):
+      * total_orders counts lines of both tables, total_units sums them;
+      * the mean order gap telescopes over the product's distinct dated
+        orders: span / (distinct orders - 1);
+      * top country: lines per (product, country), first by count desc,
+        then country.
+    """
+    per_product, top = order_measures(t)
     searches = t.searches_for_products.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("total_searches"))
-
     o = F.coalesce(F.col("total_orders"), F.lit(0))
     s = F.coalesce(F.col("total_searches"), F.lit(0))
     ratio = F.when((o == 0) | (s == 0), F.lit(0.0)).otherwise(ratio_double(o, s, 3))
@@ -84,9 +92,20 @@ def products_overview(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
 
 def top_rated_products(t: Tables, p: Params = DEFAULT) -> DataFrame:
-    """The top-n products of the overview by rating (ties by product id)."""
-    return (products_overview(t, p)
-            .select("product_id", "name", "rating", "total_orders", "top_country")
+    """The top-n products of the overview by rating (ties by product id).
+
+    Only the overview's rating, order count and top country are built; the
+    same values as reading the full overview.
+    """
+    per_product, top = order_measures(t)
+    return (t.products.select("product_id", "name")
+            .join(product_rating(t), "product_id", "left")
+            .join(per_product.select("product_id", "total_orders"), "product_id", "left")
+            .join(top, "product_id", "left")
+            .select("product_id", "name",
+                    F.coalesce(F.col("rating"), F.lit(0.0)).alias("rating"),
+                    F.coalesce(F.col("total_orders"), F.lit(0)).cast("bigint").alias("total_orders"),
+                    "top_country")
             .orderBy(F.col("rating").desc(), F.col("product_id").asc())
             .limit(p.top_n))
 
