@@ -27,3 +27,26 @@ def test_restart_from_checkpoint_is_exactly_once(spark, tables, mode):
     want = totals.order_totals(t, t.line_final(False), t.line_final(True))
     as_map = lambda df: {r[0]: r[1] for r in df.select("order_id", "total_amount").collect()}
     assert as_map(got) == as_map(want)
+
+
+def test_intake_restart_continues_ids(spark, tables):
+    from pyspark.sql import functions as F
+
+    from opticart.operators import intake
+    from opticart.streaming import intake as intake_stream
+    t = tables
+    feed = intake.customer_feed(t)
+    cut = feed.agg(F.percentile_approx("feed_seq", 0.5)).first()[0]
+    path, base = shared_path(spark, "intake-feed"), shared_path(spark, "intake")
+    args = dict(sink=f"{base}/routed", checkpoint=f"{base}/checkpoint")
+
+    feed.where(F.col("feed_seq") <= cut).write.mode("append").parquet(path)
+    intake_stream.start_intake_stream(spark, t, path, **args).awaitTermination()
+    feed.where(F.col("feed_seq") > cut).write.mode("append").parquet(path)
+    q = intake_stream.start_intake_stream(spark, t, path, **args)      # restart
+    q.awaitTermination()
+    assert q.exception() is None
+
+    got = intake_stream.customer_intake_stream(t, sink=f"{base}/routed")
+    want = intake.customer_intake(t).select(*got.columns)
+    assert sorted(got.collect()) == sorted(want.collect())
