@@ -37,24 +37,29 @@ def main() -> None:
     spark = build_session(master=f"local[{cpus}]", app="opticart-bench",
                           shuffle_partitions=cpus, extra=extra)
     queries = registry.queries()
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name, fn in queries.items():
         if wanted and name not in wanted:
             continue
         samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:  # the first run warms the JVM and the file cache
-                samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 3)
+        try:
+            for i in range(runs + 1):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:  # the first run warms the JVM and the file cache
+                    samples.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(samples), 3)
+        except Exception as exc:  # report and go on: one failure must not hide the rest
+            times[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
         # Drop the Python handles of this query's plans so Spark's cleaner can
         # release their shuffle files and broadcasts before the next one.
         gc.collect()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "total_median_query_sec",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(v for v in times.values() if v is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
@@ -62,6 +67,8 @@ def main() -> None:
         "runs": runs,
         "spark": spark.version,
     }
+    if errors:
+        out["errors"] = errors
     spark.stop()
     print(json.dumps(out))
 
