@@ -11,8 +11,12 @@ from opticart.params import ALLOWED_EMAIL_SUFFIXES, EMAIL_RULES
 
 
 def email_suffix(email: Column) -> Column:
-    """Lower-cased text after the last dot (the whole text if there is none)."""
-    return F.lower(F.substring_index(email, ".", -1))
+    """Lower-cased text after the last dot (the whole text if there is none).
+
+    Trailing spaces are dropped: the reference compares strings padded with
+    spaces, so 'com  ' equals 'com' there.
+    """
+    return F.rtrim(F.lower(F.substring_index(email, ".", -1)))
 
 
 def email_error_code(email: Column,

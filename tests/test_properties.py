@@ -147,3 +147,32 @@ def test_discount_fanout_identity_equals_literal(spark, plain, reviews):
             want = (1 if x >= 0 else -1) * int(abs(x) * 100 + 0.5) / 100
             mine = ours.where(f"product_id = {r['product_id']}").first()["discount"]
             assert mine == want
+
+
+# ------------------------------------------------------- e-mail rule chain
+from opticart.functions.email import email_error_code  # noqa: E402
+from opticart.params import ALLOWED_EMAIL_SUFFIXES  # noqa: E402
+
+
+def _procedure_code(email):
+    """The reference procedure's checks, written out in plain Python."""
+    if email is None:
+        return None                                  # every comparison with NULL is unknown
+    if "@" not in email:
+        return 51001
+    if "." not in email:
+        return 51002
+    suffix = email[email.rindex(".") + 1:].lower().rstrip(" ")   # padded comparison
+    return None if suffix in ALLOWED_EMAIL_SUFFIXES else 51003
+
+
+emails = st.one_of(st.none(), st.text(alphabet="ab@.cCoOmMnNeEtTiIlL ", max_size=14))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(emails, min_size=1, max_size=40))
+def test_email_rules_match_the_procedure(spark, batch):
+    df = spark.createDataFrame([(i, e) for i, e in enumerate(batch)], "i long, email string")
+    got = {r["i"]: r["code"] for r in
+           df.select("i", email_error_code(F.col("email")).alias("code")).collect()}
+    assert got == {i: _procedure_code(e) for i, e in enumerate(batch)}
