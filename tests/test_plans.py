@@ -30,3 +30,27 @@ def test_date_range_and_columns_reach_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate,2000-01-01T00:00)" in text
     assert "LessThan(o_orderdate,2001-01-01T00:00)" in text
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in text
+
+
+@pytest.fixture
+def no_size_broadcasts(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_shape_at_scale(spark, no_size_broadcasts, name):
+    """As on large inputs (no size-based broadcasts): still no nested loops or
+    products, and single-partition exchanges only over bounded inputs."""
+    df = QUERIES[name](spark, SMALL)
+    s = summarize(plan_text(df), plan_text(df, "simple"))
+    assert s.cartesian == 0 and s.nested_loop == 0
+    assert s.single_partition == BOUNDED_SINGLE.get(name, 0)
