@@ -54,3 +54,13 @@ def test_plan_shape_at_scale(spark, no_size_broadcasts, name):
     s = summarize(plan_text(df), plan_text(df, "simple"))
     assert s.cartesian == 0 and s.nested_loop == 0
     assert s.single_partition == BOUNDED_SINGLE.get(name, 0)
+
+
+def test_single_customer_history_filters_first(spark, tables):
+    """The customer filter reaches the scan (the filter-first form), also
+    through the SQL table function."""
+    from opticart import sql
+    from opticart.operators import history
+    assert "EqualTo(o_custkey,3)" in plan_text(history.customer_history(tables, 3))
+    sql.register(spark, tables)
+    assert "EqualTo(o_custkey,3)" in plan_text(spark.sql("SELECT * FROM customer_history(3)"))
