@@ -64,3 +64,13 @@ def test_single_customer_history_filters_first(spark, tables):
     assert "EqualTo(o_custkey,3)" in plan_text(history.customer_history(tables, 3))
     sql.register(spark, tables)
     assert "EqualTo(o_custkey,3)" in plan_text(spark.sql("SELECT * FROM customer_history(3)"))
+
+
+@pytest.mark.parametrize("name, pushed", [
+    ("custom_buyer_spend", "GreaterThanOrEqual(o_orderdate,1998-01-01T00:00)"),
+    ("top_products_by_units", "LessThan(o_orderdate,2001-01-01T00:00)"),
+    ("quarterly_revenue_rank", "GreaterThanOrEqual(o_orderdate,1996-01-01T00:00)"),
+    ("product_annual_stats", "LessThan(o_orderdate,2002-01-01T00:00)"),
+])
+def test_year_filters_reach_the_order_scan(spark, name, pushed):
+    assert pushed in plan_text(QUERIES[name](spark, SMALL))
