@@ -3,6 +3,8 @@
     python -m opticart list
     python -m opticart run products_overview --data /data/retail \
         --out /shared/products_overview --version 2001-08-01 [--as-of 2001-08-01]
+    python -m opticart run low_seller_discounts ... --param lower_discount=0.1 \
+        --param upper_discount=0.5 --param years=1999,2000,2001
 
 Under spark-submit the cluster's session (and its checkpoint folder) is
 used; run locally, a local session is built.
@@ -11,14 +13,36 @@ used; run locally, a local session is built.
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import datetime as dt
 import sys
 
 from opticart import registry
-from opticart.params import DEFAULT
+from opticart.params import DEFAULT, Params
 from opticart.sources.sinks import write_snapshot
 
 
+def parse_params(pairs: list[str], as_of: dt.date | None = None) -> Params:
+    """Params from ``key=value`` strings, converted by the field's default type."""
+    fields = {f.name: getattr(DEFAULT, f.name) for f in dataclasses.fields(Params)}
+    values = {}
+    for pair in pairs:
+        key, _, raw = pair.partition("=")
+        if key not in fields:
+            raise SystemExit(f"unknown parameter {key!r}; known: {', '.join(sorted(fields))}")
+        default = fields[key]
+        if isinstance(default, dt.date):
+            values[key] = dt.date.fromisoformat(raw)
+        elif isinstance(default, tuple):
+            kind = type(default[0]) if default else str
+            values[key] = tuple(kind(x) for x in raw.split(",") if x)
+        else:
+            values[key] = type(default)(raw)
+    if as_of is not None:
+        values["as_of"] = as_of
+    return dataclasses.replace(DEFAULT, **values)
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="opticart")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -30,6 +54,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--version", required=True, help="snapshot version, e.g. a run date")
     run.add_argument("--as-of", type=dt.date.fromisoformat, default=None,
                      help="the date that replaces the clock (default: Params.as_of)")
+    run.add_argument("--param", action="append", default=[], metavar="KEY=VALUE",
+                     help="any other Params field, e.g. year=2000 or years=1999,2000")
     args = ap.parse_args(argv)
 
     if args.cmd == "list":
@@ -42,7 +68,7 @@ def main(argv: list[str] | None = None) -> int:
 
     from opticart.session import build_session
     spark = SparkSession.getActiveSession() or build_session()
-    params = DEFAULT if args.as_of is None else DEFAULT.__class__(as_of=args.as_of)
+    params = parse_params(args.param, args.as_of)
     df = registry.queries(params)[args.product](spark, args.data)
     path = write_snapshot(df, args.out, args.version)
     print(path)

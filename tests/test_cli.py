@@ -17,3 +17,13 @@ def test_cli_run_writes_snapshot(spark, capsys):
 def test_cli_lists_every_product(capsys):
     assert main(["list"]) == 0
     assert len(capsys.readouterr().out.strip().splitlines()) == 23
+
+
+def test_cli_params_are_typed():
+    import datetime as dt
+
+    from opticart.__main__ import parse_params
+    p = parse_params(["year=1999", "years=1998,1999", "upper_discount=0.4", "growth=1.5",
+                      "review_as_of=2000-06-30"], dt.date(2001, 1, 1))
+    assert (p.year, p.years, p.upper_discount, p.growth) == (1999, (1998, 1999), 0.4, "1.5")
+    assert p.review_as_of == dt.date(2000, 6, 30) and p.as_of == dt.date(2001, 1, 1)
