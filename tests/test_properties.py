@@ -176,3 +176,52 @@ def test_email_rules_match_the_procedure(spark, batch):
     got = {r["i"]: r["code"] for r in
            df.select("i", email_error_code(F.col("email")).alias("code")).collect()}
     assert got == {i: _procedure_code(e) for i, e in enumerate(batch)}
+
+
+# ------------------------------------------- D15 change sets vs the trigger
+from opticart.operators import totals  # noqa: E402
+
+change = st.tuples(st.sampled_from(["I", "D"]), st.integers(0, 3), st.integers(1, 3),
+                   st.integers(1, 2), st.integers(1, 5))            # op, order, product, version, units
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(change, min_size=1, max_size=14))
+def test_custom_deltas_equal_the_trigger(spark, rows):
+    rows = rows + rows[:3]                                          # force repeated rows
+    t = FrameTables(
+        spark,
+        products=spark.createDataFrame([(p, f"p{p}", D(f"{10 * p}.00")) for p in (1, 2, 3)],
+                                       "product_id long, name string, price decimal(12,2)"),
+        glasses_ordered=spark.createDataFrame(
+            [(0, p, v, 1) for p in (1, 2, 3) for v in (1, 2)],
+            "order_id long, product_id long, version int, units int"),
+        selected=spark.createDataFrame(
+            [(1, 1, "lens", "tint"), (1, 1, "arm", "gold"), (2, 2, "lens", "clear")],
+            "product_id long, version int, feature string, selection string"),
+        customizations=spark.createDataFrame(
+            [("lens", "tint", D("5.00")), ("arm", "gold", None), ("lens", "clear", D("2.50"))],
+            "feature string, selection string, extra_price decimal(12,2)"))
+    changes = spark.createDataFrame(
+        rows, "op string, order_id long, product_id long, version int, units int")
+    changes.createOrReplaceTempView("ch")
+    for name in ("products", "versions", "selected", "customizations"):
+        getattr(t, name).createOrReplaceTempView(f"c_{name}")
+    literal = spark.sql("""
+        WITH extra AS (
+          SELECT r.op, r.order_id, r.product_id, r.version, SUM(COALESCE(cu.extra_price, 0)) AS extra
+          FROM ch r
+          JOIN c_versions vs ON vs.product_id = r.product_id AND vs.version = r.version
+          JOIN c_selected sl ON sl.product_id = r.product_id AND sl.version = r.version
+          JOIN c_customizations cu ON cu.feature = sl.feature AND cu.selection = sl.selection
+          GROUP BY r.op, r.order_id, r.product_id, r.version),
+        per_op AS (
+          SELECT r.op, r.order_id, SUM(r.units * (pr.price + COALESCE(e.extra, 0))) AS amount
+          FROM ch r JOIN c_products pr ON pr.product_id = r.product_id
+          LEFT JOIN extra e ON e.op = r.op AND e.order_id = r.order_id
+                           AND e.product_id = r.product_id AND e.version = r.version
+          GROUP BY r.op, r.order_id)
+        SELECT order_id, SUM(CASE op WHEN 'I' THEN amount ELSE -amount END) AS delta
+        FROM per_op GROUP BY order_id""")
+    ours = totals.custom_line_deltas(t, changes)
+    assert sorted(ours.collect()) == sorted(literal.collect())
