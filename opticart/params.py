@@ -35,5 +35,18 @@ class Params:
     quartiles: int = 4
     allowed_suffixes: tuple[str, ...] = field(default=ALLOWED_EMAIL_SUFFIXES)
 
+    def __post_init__(self):
+        problems = []
+        if not self.years:
+            problems.append("years must list at least one year")
+        if self.top_n < 1 or self.quartiles < 1:
+            problems.append("top_n and quartiles must be positive")
+        if self.lower_discount > self.upper_discount:
+            problems.append("lower_discount must not exceed upper_discount")
+        if self.idle_days < 0 or self.spend_lookback_years < 0 or self.revenue_lookback_years < 0:
+            problems.append("day and year windows must not be negative")
+        if problems:
+            raise ValueError("; ".join(problems))
+
 
 DEFAULT = Params()

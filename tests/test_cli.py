@@ -27,3 +27,12 @@ def test_cli_params_are_typed():
                       "review_as_of=2000-06-30"], dt.date(2001, 1, 1))
     assert (p.year, p.years, p.upper_discount, p.growth) == (1999, (1998, 1999), 0.4, "1.5")
     assert p.review_as_of == dt.date(2000, 6, 30) and p.as_of == dt.date(2001, 1, 1)
+
+
+def test_params_reject_impossible_settings():
+    import pytest
+
+    from opticart.params import Params
+    for bad in (dict(years=()), dict(top_n=0), dict(lower_discount=0.6), dict(idle_days=-1)):
+        with pytest.raises(ValueError):
+            Params(**bad)
