@@ -20,3 +20,16 @@ def test_sql_objects_match_products(spark, tables):
     ref = overview.rating_gap(tables).select("review_id", "gap")
     assert sorted(gaps.collect()) == sorted(ref.collect())
     assert spark.sql("SELECT count(*) FROM revenue_by_year").first()[0] > 0
+
+
+def test_table_function_applies_per_row(spark, tables):
+    """customer_history() applied per customer with LATERAL, as CROSS APPLY."""
+    sql.register(spark, tables)
+    lateral = spark.sql("""
+        SELECT c.customer_id, h.order_id, h.total_units, h.total_cost
+        FROM customers c, LATERAL customer_history(c.customer_id) h
+        WHERE c.customer_id IN (3, 4, 5)""")
+    ref = (history.customer_history(tables)
+           .where("customer_id IN (3, 4, 5)")
+           .select("customer_id", "order_id", "total_units", "total_cost"))
+    assert sorted(lateral.collect()) == sorted(ref.collect())
