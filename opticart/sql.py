@@ -1,9 +1,9 @@
 """SQL surface: the retail schema, its views and functions as Spark SQL objects.
 
 ``register(spark, tables)`` creates session-scoped temporary views for the
-conformed tables and for the reference's three views, plus a table
-function and a scalar function with the reference's shapes, so SQL users
-can keep writing
+conformed tables, for the reference's three views and for every lazily
+built data product (named by its key), plus a table function and a scalar
+function with the reference's shapes, so SQL users can keep writing
 
     SELECT * FROM products_overview
     SELECT TOP-style ... ORDER BY rating DESC LIMIT 10
@@ -19,9 +19,15 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from opticart import registry
 from opticart.operators import annual, history, overview, totals
 from opticart.params import DEFAULT, Params
 
+# Products that run a job while being built (ranking checkpoints, stream
+# replays) are not registered as views; call them from Python.
+EAGER = ("search_to_order_quartile", "customer_intake", "stream_order_totals",
+         "customer_intake_stream")
+
 TABLES = ("customers", "credit_cards", "products", "base_frames", "ordered",
           "glasses_ordered", "versions", "selected", "customizations", "searches",
           "searches_for_products", "reviews")
@@ -41,6 +47,9 @@ def register(spark: SparkSession, t, p: Params = DEFAULT) -> list[str]:
         "revenue_by_year": totals.revenue_by_year(t, p),
         "customer_history_all": history.customer_history(t),
     }
+    for key, fn in registry.PRODUCTS.items():
+        if key not in EAGER and key not in views:
+            views[key] = fn(t, p)
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     names += ["orders", *views]

@@ -33,3 +33,11 @@ def test_table_function_applies_per_row(spark, tables):
            .where("customer_id IN (3, 4, 5)")
            .select("customer_id", "order_id", "total_units", "total_cost"))
     assert sorted(lateral.collect()) == sorted(ref.collect())
+
+
+def test_products_are_views(spark, tables):
+    from opticart.operators import windows
+    names = sql.register(spark, tables)
+    assert "country_efficiency" in names and "search_to_order_quartile" not in names
+    assert (spark.sql("SELECT count(*) FROM country_efficiency").first()[0]
+            == windows.country_efficiency(tables).count())
