@@ -175,6 +175,7 @@ def delete_latest_order_lines(t: Tables, requests: DataFrame,
 
 
 def remaining_after_returns(t: Tables, p: Params = DEFAULT) -> DataFrame:
+    """D17 over the data: customised lines left after the return requests."""
     return delete_latest_order_lines(t, return_requests(t))[0]
 
 
@@ -193,4 +194,5 @@ def revenue_vs_target(totals: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 def revenue_by_year(t: Tables, p: Params = DEFAULT) -> DataFrame:
+    """D20 over the data: yearly revenue of the recomputed totals and its target."""
     return revenue_vs_target(order_totals(t, geo=False), p)

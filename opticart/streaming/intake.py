@@ -82,5 +82,5 @@ def replay_customer_feed(t: Tables, p: Params = DEFAULT) -> str:
 
 
 def customer_intake_stream(t: Tables, p: Params = DEFAULT, sink: str | None = None) -> DataFrame:
-    """The routed rows of the streamed intake (same shape as the batch intake)."""
+    """D22, streaming use: the routed rows of the streamed intake (as the batch intake)."""
     return t.spark.read.parquet(sink or replay_customer_feed(t, p)).drop("batch_id")
