@@ -47,8 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     The folder comes from ``spark.checkpoint.dir`` (or an already set
-    SparkContext checkpoint dir). Only when neither is set - a laptop or a
-    test run - do we create one of our own.
+    SparkContext checkpoint dir). A local master may go without and gets a
+    temporary folder; on a cluster that would be a folder the executors do
+    not share, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="opticart-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
