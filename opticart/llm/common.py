@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import os
 import uuid
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,3 +70,32 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers.
+
+    Once per application the package goes as a zip to the shared folder and
+    from there through ``addPyFile``.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    path = f"{scratch_path(spark, 'package')}/{os.path.basename(root)}.zip"
+    hadoop_path = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration()).create(hadoop_path)
+    out.write(buffer.getvalue())
+    out.close()
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)

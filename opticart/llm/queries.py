@@ -6,18 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opticart.llm import quality_rules, sql
+from opticart.llm import packing, quality_rules, sql
 from opticart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the verdict of the learnt thresholds, per document."""
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
 }
 
