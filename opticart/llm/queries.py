@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opticart.llm import packing, quality_rules, sql
+from opticart.llm import packing, quality_rules, sql, substring_dedup
 from opticart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words covered by repeated windows of 35 words removed, per document."""
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of at most 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -23,6 +28,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
 }
