@@ -48,6 +48,16 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def null_safe(left: DataFrame, right: DataFrame, keys: list[str],
+              how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys are equal; the key columns appear once."""
+    named = right.withColumnsRenamed({k: f"r__{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"r__{k}"))
+    return left.join(named, cond, how).drop(*[f"r__{k}" for k in keys])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared checkpoint folder, deleted when the application ends."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

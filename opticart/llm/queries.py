@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opticart.llm import jaccard_forest, packing, quality_rules, sql, substring_dedup
+from opticart.llm import decontaminate, jaccard_forest, packing, quality_rules, sql, substring_dedup
 from opticart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, also with other numbers and names."""
+    return (decontaminate.leaks(table(spark, sf_dir, "documents"),
+                                table(spark, sf_dir, "benchmark")).drop("mark"))
+
+
 def op10_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-duplicates and number of links of every document."""
     return (jaccard_forest.jaccard_classes(table(spark, sf_dir, "documents"))
@@ -37,9 +43,11 @@ QUERIES: dict[str, Query] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op9_decontamination": op9_decontamination,
     "op10_jaccard_forest": op10_jaccard_forest,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_quality_rules": sql.OP5,
+    "op9_decontamination": sql.OP9,
 }

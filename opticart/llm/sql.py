@@ -95,3 +95,66 @@ def quality_counts(source: str) -> str:
 
 OP5 = f"""WITH {quality_counts('documents')}
 SELECT doc_id, {', '.join(qr.COUNTS)}, base_failed, kept FROM judged"""
+
+from opticart.llm import decontaminate as dc  # noqa: E402
+
+_UNITS = ", ".join(f"'{u}'" for u in dc.UNITS)
+
+
+def _template(source: str, key: str, id_col: str) -> str:
+    """CTE bodies: typed words (key, pos, word, token, slot) of the distinct rows of ``source``."""
+    return rf"""
+    {key}_src AS (
+      SELECT DISTINCT {id_col}, text FROM {source}
+    ), {key}_base AS (
+      SELECT row_number() OVER () AS {key}, * FROM {key}_src
+    ), {key}_words AS (
+      SELECT {key}, {id_col}, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM (
+        SELECT {key}, {id_col}, regexp_extract_all(
+          regexp_replace(coalesce(text, ''), '[^\p{{L}}\p{{N}}\x20\x09-\x0D]+', '', 'g'),
+          '[^\x20\x09-\x0D]+') AS ws FROM {key}_base)
+    ), {key}_typed AS (
+      SELECT *, token <> w OR token IN ('#', '^', '~') AS slot FROM (
+        SELECT {key}, {id_col}, w, pos, CASE WHEN regexp_matches(w, '^\p{{Lu}}') THEN '^'
+          WHEN regexp_matches(w, '^\p{{N}}') THEN '#' WHEN w IN ({_UNITS}) THEN '~' ELSE w END
+          AS token FROM {key}_words)
+    ), {key}_win AS (
+      SELECT *, array_to_string(list(token) OVER win, ' ') AS g, list(slot) OVER win AS sl,
+             count(*) OVER win AS n
+      FROM {key}_typed WINDOW win AS (PARTITION BY {key} ORDER BY pos
+                                      ROWS BETWEEN CURRENT ROW AND {dc.WINDOW - 1} FOLLOWING)
+    )"""
+
+
+def leak_ctes(source: str) -> str:
+    return rf"""{_template(source, 'dk', 'doc_id')},
+    {_template('benchmark', 'ik', 'item_id')}, bw AS (
+      SELECT * , count(*) OVER (PARTITION BY ik) AS n_windows FROM ik_win
+      WHERE n = {dc.WINDOW} AND len(list_filter(sl, lambda s: NOT s)) >= {dc.MIN_LITERAL}
+    ), hits AS (
+      SELECT d.dk, d.doc_id, b.ik, b.item_id, b.pos AS ipos, d.pos AS pos, b.n_windows
+      FROM dk_win d JOIN bw b ON d.g = b.g AND d.n = {dc.WINDOW}
+    ), slots AS (
+      SELECT DISTINCT h.dk, h.ik, h.pos - h.ipos AS diagonal, i.w AS iw, t.w AS dw
+      FROM hits h, range({dc.WINDOW}) r(k)
+      JOIN ik_typed i ON i.ik = h.ik AND i.pos = h.ipos + k AND i.slot
+      JOIN dk_typed t ON t.dk = h.dk AND t.pos = h.pos + k
+    ), runs AS (
+      SELECT dk, ik, diagonal, bool_and(iw = dw) AS same,
+             count(*) = count(DISTINCT iw) AS consistent
+      FROM slots GROUP BY ALL
+    ), covered AS (
+      SELECT h.dk, h.doc_id, h.ik, h.item_id, h.n_windows, h.ipos,
+             bool_or(coalesce(r.same, true)) AS same
+      FROM hits h LEFT JOIN runs r ON r.dk = h.dk AND r.ik = h.ik AND r.diagonal = h.pos - h.ipos
+      WHERE coalesce(r.consistent, true) GROUP BY ALL
+    ), leaking AS (
+      SELECT dk, doc_id, item_id, n_windows, count(*) AS n_found, bool_and(same) AS exact
+      FROM covered GROUP BY dk, doc_id, ik, item_id, n_windows
+      HAVING count(*) * {dc.MIN_SHARE[1]} >= n_windows * {dc.MIN_SHARE[0]}
+    )"""
+
+
+OP9 = f"""WITH {leak_ctes('documents')}
+SELECT doc_id, item_id, max(n_windows)::BIGINT AS n_windows, max(n_found)::BIGINT AS n_found,
+       bool_or(exact) AS exact FROM leaking GROUP BY dk, doc_id, item_id"""
