@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opticart.llm import decontaminate, jaccard_forest, packing, quality_rules, sql, substring_dedup
+from opticart.llm import (decontaminate, jaccard_forest, language_mix, packing, quality_rank,
+                          quality_rules, sql, substring_dedup)
 from opticart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learnt from those not held out."""
+    return language_mix.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words covered by repeated windows of 35 words removed, per document."""
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
@@ -27,6 +33,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from labels that are not held out."""
+    return quality_rank.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, also with other numbers and names."""
     return (decontaminate.leaks(table(spark, sf_dir, "documents"),
@@ -40,9 +51,11 @@ def op10_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_mix": op1_language_mix,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op8_quality_rank": op8_quality_rank,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_forest": op10_jaccard_forest,
 }
