@@ -41,7 +41,7 @@ THRESHOLD = (4, 5)   # similarity of 0.8 as a fraction, compared in integers
 TREES = 24
 DEPTH = 8
 RECALL = 0.999
-GROUP = 4096         # texts of a component that meet in one group
+GROUP = 1024         # texts of a component that meet in one group
 MEET = 2000          # texts of small components dealt to one group, about
 CHUNK = 2 << 20
 
@@ -238,8 +238,22 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = materialise(nodes.groupBy("key").agg(F.min("fp").alias("v"),
                                                  F.count(F.lit(1)).alias("n"))
                         .where("n > 1").select("key", "v"), "nodes-least")
-    ties = nodes.join(least, "key").where("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
-    labels = components(ties)
+    ties = materialise(nodes.join(least, "key").where("fp <> v")
+                       .select(F.col("fp").alias("u"), "v").distinct(), "ties")
+    # A text hangs on the least of the members it is tied to; only what its
+    # ties say about those members goes into the components.
+    hung = materialise(ties.groupBy("u").agg(F.min("v").alias("m")), "hung")
+    tops = materialise(ties.select("v").distinct(), "tops")
+    joint = components(ties.join(hung, "u").where("v <> m").select("v", F.col("m").alias("u"))
+                       .unionByName(hung.join(tops, hung["u"] == tops["v"], "left_semi")
+                                    .select("u", F.col("m").alias("v")))
+                       .distinct())
+    member = hung.select(F.col("u").alias("node"), "m").unionByName(
+        tops.join(hung, tops["v"] == hung["u"], "left_anti")
+        .select(F.col("v").alias("node"), F.col("v").alias("m")))
+    labels = materialise(
+        member.join(joint.select(F.col("node").alias("m"), "label"), "m", "left")
+        .select("node", F.coalesce("label", "m").alias("label")), "texts")
     sizes = materialise(labels.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "sizes")
     half = GROUP // 2
     blocks = F.when(F.col("size") > GROUP, F.ceil(F.col("size") / half)).otherwise(1)
