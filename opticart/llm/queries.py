@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opticart.llm import (decontaminate, jaccard_forest, language_mix, packing, quality_rank,
+from opticart.llm import (decontaminate, html_extract, jaccard_forest, language_mix, packing, quality_rank,
                           quality_rules, sql, substring_dedup)
 from opticart.llm.common import table
 
@@ -33,6 +33,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from labels that are not held out."""
     return quality_rank.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -55,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op7_html_extract": op7_html_extract,
     "op8_quality_rank": op8_quality_rank,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_forest": op10_jaccard_forest,
