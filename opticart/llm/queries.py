@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opticart.llm import (decontaminate, html_extract, jaccard_forest, language_mix, packing, quality_rank,
-                          quality_rules, sql, substring_dedup)
+from opticart.llm import (decontaminate, html_extract, jaccard_forest, language_mix, packing, pii,
+                          quality_rank, quality_rules, sql, substring_dedup)
 from opticart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with pseudonyms in place of personal numbers, dates and addresses."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents"))
+
+
 def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_extract.extract(table(spark, sf_dir, "pages"))
@@ -60,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_pii": op6_pii,
     "op7_html_extract": op7_html_extract,
     "op8_quality_rank": op8_quality_rank,
     "op9_decontamination": op9_decontamination,
