@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opticart.llm import (decontaminate, html_extract, jaccard_forest, language_mix, packing, pii,
-                          quality_rank, quality_rules, sql, substring_dedup)
+from opticart.llm import (decontaminate, html_extract, jaccard_forest, language_mix, line_dedup,
+                          packing, pii, quality_rank, quality_rules, sql, substring_dedup)
 from opticart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op1_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_mix.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that resemble an earlier line."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words covered by repeated windows of 35 words removed, per document."""
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
@@ -62,6 +67,7 @@ def op10_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_language_mix": op1_language_mix,
+    "op2_line_dedup": op2_line_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
@@ -73,6 +79,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": sql.OP2,
     "op5_quality_rules": sql.OP5,
     "op9_decontamination": sql.OP9,
 }

@@ -158,3 +158,56 @@ def leak_ctes(source: str) -> str:
 OP9 = f"""WITH {leak_ctes('documents')}
 SELECT doc_id, item_id, max(n_windows)::BIGINT AS n_windows, max(n_found)::BIGINT AS n_found,
        bool_or(exact) AS exact FROM leaking GROUP BY dk, doc_id, item_id"""
+
+
+def line_ctes(source: str) -> str:
+    """CTE bodies: ``kept_docs`` has each row of ``source`` with the text that stays.
+
+    The order of tokens (exact document frequency) differs from the operator's.
+    """
+    return rf"""
+    ld AS (
+      SELECT row_number() OVER () AS rid, *, coalesce(doc_id, -9223372036854775808) AS dk
+      FROM {source}
+    ), lln AS (
+      SELECT rid, dk, hash(text) AS mk, unnest(range(len(ls))) AS line, unnest(ls) AS value
+      FROM (SELECT rid, dk, text, string_split(text, chr(10)) AS ls FROM ld)
+    ), lset AS (
+      SELECT rid, dk, mk, line, list_sort(list_distinct(regexp_extract_all(
+        value, '[^\x20\x09-\x0D]+'))) AS k
+      FROM lln WHERE regexp_matches(value, '[^\x20\x09-\x0D]')
+    ), lfirst AS (
+      SELECT row_number() OVER () AS lid, k, min({{'d': dk, 'm': mk, 'l': line}}) AS p, len(k) AS n
+      FROM lset GROUP BY k
+    ), lfreq AS (
+      SELECT w, row_number() OVER (ORDER BY count(*), w) AS r
+      FROM (SELECT unnest(k) AS w FROM lfirst) GROUP BY w
+    ), lpre AS (
+      SELECT lid, n, p, r FROM (
+        SELECT lid, n, p, r, row_number() OVER (PARTITION BY lid ORDER BY r) AS i
+        FROM (SELECT lid, n, p, unnest(k) AS w FROM lfirst) JOIN lfreq USING (w))
+      WHERE i <= n - (n * 4 + 4) // 5 + 1
+    ), lcand AS (
+      SELECT DISTINCT y.lid AS y, x.lid AS x FROM lpre y JOIN lpre x
+      ON x.r = y.r AND x.p < y.p AND least(x.n, y.n) * 5 >= greatest(x.n, y.n) * 4
+    ), lsim AS (
+      SELECT DISTINCT c.y FROM lcand c JOIN lfirst a ON a.lid = c.y JOIN lfirst b ON b.lid = c.x
+      WHERE len(list_intersect(a.k, b.k)) * 9 >= (a.n + b.n) * 4
+    ), lgone AS (
+      SELECT s.rid, s.line FROM lset s JOIN lfirst f ON s.k = f.k
+      WHERE {{'d': s.dk, 'm': s.mk, 'l': s.line}} <> f.p OR f.lid IN (SELECT y FROM lsim)
+    ), lkept AS (
+      SELECT l.rid, count(*) FILTER (regexp_matches(value, '[^\x20\x09-\x0D]')) AS n_lines,
+             count(g.line) AS n_removed,
+             string_agg(value, chr(10) ORDER BY l.line) FILTER (g.line IS NULL) AS body
+      FROM lln l LEFT JOIN lgone g ON g.rid = l.rid AND g.line = l.line GROUP BY l.rid
+    ), kept_docs AS (
+      SELECT d.* EXCLUDE (text), d.text AS old_text, coalesce(k.n_lines, 0) AS n_lines,
+             coalesce(k.n_removed, 0) AS n_removed,
+             CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.body, '') END AS text
+      FROM ld d LEFT JOIN lkept k USING (rid)
+    )"""
+
+
+OP2 = f"""WITH {line_ctes('documents')}
+SELECT doc_id, n_lines::BIGINT AS n_lines, n_removed::BIGINT AS n_removed, text FROM kept_docs"""
