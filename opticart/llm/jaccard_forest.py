@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opticart.llm.common import materialise, ship
+from opticart.llm.common import fresh, materialise, ship
 from opticart.llm.components import components
 from opticart.llm.wordhash import mix, rolling, word_hashes, word_spans
 
@@ -44,6 +44,7 @@ RECALL = 0.999
 GROUP = 1024         # texts of a component that meet in one group
 MEET = 2000          # texts of small components dealt to one group, about
 CHUNK = 2 << 20
+MAX_BROADCAST_ROWS = 1_000_000  # document keys of 16 bytes
 
 
 def depth_for(threshold: float, trees: int = TREES, recall: float = RECALL,
@@ -218,7 +219,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     gram: int = GRAM, threshold: tuple[int, int] = THRESHOLD,
                     trees: int = TREES, recall: float = RECALL) -> DataFrame:
     """One row per document: doc_id, mark (hash of the text), fp (its gram set, null
-    if it has none), class_id (least doc_id that chains of links reach), copies
+    if it has none), root (a key of its class, null if it has no gram), class_id (least doc_id that chains of links reach), copies
     (documents with the same gram set) and n_links (other documents at the
     similarity or above, copies included)."""
     spark = docs.sparkSession
@@ -289,12 +290,37 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("fp", "first_id", "copies", F.coalesce("root", "fp").alias("root"),
                 F.coalesce("links", F.lit(0).cast("long")).alias("links")), "known")
     ids = materialise(known.groupBy("root").agg(F.min("first_id").alias("class_id")), "class-ids")
-    of_class = materialise(known.join(ids, "root").select("fp", "class_id", "copies", "links"),
-                           "members")
+    of_class = materialise(known.join(ids, "root").select(
+        "fp", "root", "class_id", "copies", "links"), "members")
     return (sketch.select("doc_id", "mark", "fp").join(of_class, "fp", "left")
-            .select("doc_id", "mark", "fp",
+            .select("doc_id", "mark", "fp", "root",
                     F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
                     .alias("class_id"),
                     F.coalesce("copies", F.lit(1).cast("long")).alias("copies"),
                     (F.coalesce("links", F.lit(0).cast("long"))
                      + F.coalesce("copies", F.lit(1).cast("long")) - 1).alias("n_links")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each class (that of least id), with all its columns.
+
+    Documents without a word stay. Rows that repeat id and text count as one
+    class's copies; one of them stays.
+    """
+    rows = materialise(jaccard_classes(docs, id_col, text_col).where("fp IS NOT NULL")
+                       .select("doc_id", "mark", "root"), "near-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    best = materialise(rows.groupBy("root").agg(F.min(order).alias("best")), "near-best")
+    lost = materialise(rows.join(best, "root").where(~order.eqNullSafe(F.col("best")))
+                       .select("doc_id", "mark").distinct(), "near-lost")
+    if lost.count() <= MAX_BROADCAST_ROWS:
+        lost = F.broadcast(lost)
+    mark, r_doc, r_mark = fresh(docs, "mark", "r_doc", "r_mark")
+    lost = lost.select(F.col("doc_id").alias(r_doc), F.col("mark").alias(r_mark))
+    kept = (docs.withColumn(mark, F.xxhash64(F.col(text_col).cast("string")))
+            .join(lost, F.col(id_col).cast("long").eqNullSafe(F.col(r_doc))
+                  & (F.col(mark) == F.col(r_mark)), "left_anti"))
+    if rows.groupBy("doc_id", "mark").count().where("count > 1").limit(1).count():
+        empty = ~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+        kept = kept.where(~empty).dropDuplicates([id_col, mark]).unionByName(kept.where(empty))
+    return kept.drop(mark)
