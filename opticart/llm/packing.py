@@ -95,10 +95,11 @@ def cuts(rest: int, capacity: int = CAPACITY, max_waste: int = MAX_WASTE) -> tup
     out = []
     while rest:
         k = capacity // rest
-        if capacity - k * rest <= max_waste:
+        size = capacity // (k + 1)
+        waste = capacity - k * rest
+        if waste <= max_waste or waste <= capacity - (k + 1) * size:  # a cut would not help
             out.append((k, rest))
             break
-        size = capacity // (k + 1)
         out.append((k + 1, size))
         rest -= size
     return tuple(out)
