@@ -177,7 +177,7 @@ def line_ctes(source: str) -> str:
         value, '[^\x20\x09-\x0D]+'))) AS k
       FROM lln WHERE regexp_matches(value, '[^\x20\x09-\x0D]')
     ), lfirst AS (
-      SELECT row_number() OVER () AS lid, k, min({{'d': dk, 'm': mk, 'l': line}}) AS p, len(k) AS n
+      SELECT row_number() OVER () AS lid, k, min({{'d': dk, 'l': line, 'm': mk}}) AS p, len(k) AS n
       FROM lset GROUP BY k
     ), lfreq AS (
       SELECT w, row_number() OVER (ORDER BY count(*), w) AS r
@@ -195,7 +195,7 @@ def line_ctes(source: str) -> str:
       WHERE len(list_intersect(a.k, b.k)) * 9 >= (a.n + b.n) * 4
     ), lgone AS (
       SELECT s.rid, s.line FROM lset s JOIN lfirst f ON s.k = f.k
-      WHERE {{'d': s.dk, 'm': s.mk, 'l': s.line}} <> f.p OR f.lid IN (SELECT y FROM lsim)
+      WHERE {{'d': s.dk, 'l': s.line, 'm': s.mk}} <> f.p OR f.lid IN (SELECT y FROM lsim)
     ), lkept AS (
       SELECT l.rid, count(*) FILTER (regexp_matches(value, '[^\x20\x09-\x0D]')) AS n_lines,
              count(g.line) AS n_removed,

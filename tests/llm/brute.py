@@ -74,7 +74,7 @@ def late_lines(rows):
         for k, line in enumerate((t or "").split("\n") if t is not None else []):
             s = frozenset(words(line))
             if s:
-                key = (-1 if d is None else d, t if rows.count((d, t)) > 1 else "", k)
+                key = (-1 if d is None else d, k)
                 lines.append((key, i, k, s))
     gone = defaultdict(set)
     for key, i, k, s in lines:
