@@ -6,8 +6,9 @@
     python -m opticart run low_seller_discounts ... --param lower_discount=0.1 \
         --param upper_discount=0.5 --param years=1999,2000,2001
 
-Under spark-submit the cluster's session (and its checkpoint folder) is
-used; run locally, a local session is built.
+Under spark-submit the submitted settings (master, shuffle partitions,
+checkpoint folder) stay; without a configured master a local session is
+built.
 """
 
 from __future__ import annotations
@@ -64,10 +65,8 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{key:30s} {first}")
         return 0
 
-    from pyspark.sql import SparkSession
-
-    from opticart.session import build_session
-    spark = SparkSession.getActiveSession() or build_session()
+    from opticart.session import job_session
+    spark = job_session()
     params = parse_params(args.param, args.as_of)
     df = registry.queries(params)[args.product](spark, args.data)
     path = write_snapshot(df, args.out, args.version)

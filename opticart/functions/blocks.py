@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opticart.functions.skew import salted_join
+
 VKEY = ["product_id", "version"]
 
 
@@ -54,8 +56,9 @@ def price_glasses_lines(glasses: DataFrame, products: DataFrame, extras: DataFra
     order-total maintenance): lines of unknown products drop out, lines of
     versions without options pay the base price.
     """
-    return (glasses.join(products.select("product_id", "price"), "product_id")
-            .join(extras.select(*VKEY, "sum_extra"), VKEY, "left")
+    priced = salted_join(glasses, products.select("product_id", "price"), ["product_id"],
+                         F.col("order_id"))
+    return (salted_join(priced, extras.select(*VKEY, "sum_extra"), VKEY, F.col("order_id"), "left")
             .withColumn("unit_price",
                         F.col("price") + F.coalesce(F.col("sum_extra"), F.lit(0)))
             .drop("price", "sum_extra"))

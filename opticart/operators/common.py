@@ -22,18 +22,20 @@ def grouped_revenue(t: Tables, keyed_orders: DataFrame, keys: list[str]) -> Data
     """
     ext = version_extras(t.selected, t.customizations)
     vp = version_prices(t.versions, t.products, ext)
+    prices = t.products.select("product_id", "price")
     lines = (t.ordered.select("order_id", "product_id", F.lit(None).cast("int").alias("version"),
                               "units", F.lit(False).alias("_custom"))
              .unionByName(t.glasses_ordered.select("order_id", "product_id", "version", "units",
                                                    F.lit(True).alias("_custom"))))
     units = (lines.join(keyed_orders, "order_id")
              .groupBy(*keys, "_custom", *VKEY).agg(F.sum("units").alias("_u")))
-    plain = (units.where(~F.col("_custom"))
-             .join(t.products.select("product_id", "price"), "product_id")
-             .select(*keys, (F.col("_u") * F.col("price")).alias("revenue")))
-    glasses = (units.where(F.col("_custom")).join(vp, VKEY)
-               .select(*keys, (F.col("_u") * F.col("total_price")).alias("revenue")))
-    return plain.unionByName(glasses).groupBy(*keys).agg(F.sum("revenue").alias("revenue"))
+    # One consumer of the reduced lines, so they are read and joined once: a
+    # plain line takes the product's price, a customised one its version's,
+    # and one without a listed version drops out.
+    priced = (units.join(prices, "product_id").join(vp, VKEY, "left")
+              .withColumn("_price", F.when(F.col("_custom"), F.col("total_price"))
+                          .otherwise(F.col("price"))).where(F.col("_price").isNotNull()))
+    return priced.groupBy(*keys).agg(F.sum(F.col("_u") * F.col("_price")).alias("revenue"))
 
 
 def stored_line_amounts(t: Tables, plain: DataFrame, glasses: DataFrame) -> DataFrame:

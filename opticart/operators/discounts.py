@@ -10,7 +10,8 @@ from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
 
 
-def low_seller_discounts(t: Tables, p: Params = DEFAULT) -> DataFrame:
+def low_seller_discounts(t: Tables, p: Params = DEFAULT,
+                         stored: DataFrame | None = None) -> DataFrame:
     """Discount from the min-max scaled rating-per-unit of idle products.
 
     Per product: mean rating, plain units and days since the last plain
@@ -20,7 +21,8 @@ def low_seller_discounts(t: Tables, p: Params = DEFAULT) -> DataFrame:
     qualify; their ratio is min-max scaled into [lower, upper] and rounded
     to 2 (equal min and max give ``upper``). The global min and max are
     one uncorrelated scalar subquery, not a window over all products.
-    Non-qualifying products keep a NULL discount.
+    Products that do not qualify keep their discount of ``stored``
+    (product_id, discount), or NULL without it.
     """
     rv = t.reviews.groupBy("product_id").agg(
         F.sum("rating").alias("_rs"), F.count("rating").alias("_rc"),
@@ -47,5 +49,11 @@ def low_seller_discounts(t: Tables, p: Params = DEFAULT) -> DataFrame:
     lower, upper = F.lit(p.lower_discount), F.lit(p.upper_discount)
     scaled = F.when(hi == lo, upper).otherwise(
         lower + ((F.col("_ratio") - lo) / F.when(hi - lo != 0, hi - lo)) * (upper - lower))
+    kept = F.lit(None).cast("double")
+    if stored is not None:
+        stats = stats.join(stored.select("product_id", F.col("discount").alias("_kept")),
+                           "product_id", "left")
+        kept = F.col("_kept").cast("double")
     return stats.select("product_id", "name", "price",
-                        F.when(F.col("_idle"), round_double(scaled, 2)).alias("discount"))
+                        F.when(F.col("_idle"), round_double(scaled, 2)).otherwise(kept)
+                        .alias("discount"))

@@ -53,7 +53,7 @@ def customer_intake(t: Tables, p: Params = DEFAULT, feed: DataFrame | None = Non
         "feed_seq", "status",
         F.when(accepted, base_id + F.col("_seq")).alias("customer_id"),
         "first_name", "last_name", "email",
-        F.when(~accepted, log_base + F.col("_seq")).cast("int").alias("log_id"),
+        F.when(~accepted, log_base + F.col("_seq")).cast("bigint").alias("log_id"),
         F.col("error_number").cast("int").alias("error_number"),
         email_error_message(F.col("error_number")).alias("error_description"),
         F.when(~accepted, F.lit(p.as_of).cast("timestamp_ntz")).alias("log_date"))

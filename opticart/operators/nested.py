@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opticart.functions.numeric import idiv
+from opticart.functions.skew import salted_join
 from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
 
@@ -14,7 +15,8 @@ def searched_never_bought(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Searched products that no line of either table ever ordered.
 
     ``NOT IN`` is null-aware: a NULL product id among the lines empties the
-    result. Spark plans a null-aware anti join only as a broadcast of the
+    result. The searches are reduced to distinct ids first: the right side
+    of a semi join is never split. Spark plans a null-aware anti join only as a broadcast of the
     whole subquery; here the line product ids are reduced to distinct
     values (partial aggregation), anti-joined by hash, and the NULL case is
     one uncorrelated EXISTS evaluated once.
@@ -22,7 +24,7 @@ def searched_never_bought(t: Tables, p: Params = DEFAULT) -> DataFrame:
     line_ids = (t.ordered.select("product_id")
                 .unionByName(t.glasses_ordered.select("product_id")))
     searched = t.products.select("product_id", "name").join(
-        t.searches_for_products.select("product_id"), "product_id", "left_semi")
+        t.searches_for_products.select("product_id").distinct(), "product_id", "left_semi")
     has_null = line_ids.where(F.col("product_id").isNull()).exists()
     return (searched.join(line_ids.distinct(), "product_id", "left_anti")
             .where(~has_null)
@@ -34,13 +36,13 @@ def below_average_reviewers(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
     AVG over an INT column truncates in the reference, so the mean is
     sum div count. The per-product means are a partial aggregate joined
-    back to the reviews; qualifying customers are reduced to distinct ids
-    before the customer join.
+    back to the reviews, with a hot product's reviews salted; qualifying
+    customers are reduced to distinct ids before the customer join.
     """
     r = t.reviews.select("customer_id", "product_id", "rating")
     mean = r.groupBy("product_id").agg(
         idiv(F.sum("rating"), F.count("rating")).alias("mean_rating"))
-    low = (r.join(mean, "product_id")
+    low = (salted_join(r, mean, ["product_id"], F.col("customer_id"))
            .where(F.col("rating") < F.col("mean_rating"))
            .select("customer_id").distinct())
     c = t.customers

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opticart.functions.blocks import all_lines
 from opticart.functions.numeric import ratio_double, round_ratio
+from opticart.functions.skew import salted_join
 from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
 
@@ -22,15 +23,15 @@ def product_rating(t: Tables) -> DataFrame:
         ratio_double(F.sum("rating"), F.count("rating"), 2).alias("rating"))
 
 
-def order_measures(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Per product (total_orders, total_units, _span, _dated) and its top country.
+def order_measures(t: Tables) -> DataFrame:
+    """Per product (total_orders, total_units, _span, _dated, top_country).
 
     One aggregate over the lines-to-orders join at (product, country)
     granularity serves every order measure: an order has one country, so
     distinct orders per product are the sum over its countries, and the
-    top country is read from the same rows (count desc, then country; the
-    window sees at most one row per country). Lines whose order is unknown
-    form the (product, NULL) group with _hit NULL.
+    top country is the least (-count, country) among the same rows, so the
+    lines are joined and aggregated once. Lines whose order is unknown form
+    the (product, NULL) group with _hit NULL.
     """
     lines = all_lines(t.ordered, t.glasses_ordered)
     orders = t.orders_geo.select("order_id", "order_date", "country", F.lit(True).alias("_hit"))
@@ -46,13 +47,11 @@ def order_measures(t: Tables) -> tuple[DataFrame, DataFrame]:
         F.sum("_n").alias("total_orders"),
         F.sum("_u").alias("total_units"),
         F.datediff(F.max("_last"), F.min("_first")).alias("_span"),
-        F.sum("_dated").alias("_dated"))
-    first = Window.partitionBy("product_id").orderBy(F.col("_n").desc(),
-                                                     F.col("country").asc_nulls_last())
-    top = (by_country.where(F.col("_hit"))
-           .withColumn("_pos", F.row_number().over(first))
-           .where(F.col("_pos") == 1).select("product_id", F.col("country").alias("top_country")))
-    return per_product, top
+        F.sum("_dated").alias("_dated"),
+        F.min(F.when(F.col("_hit"), F.struct(
+            (-F.col("_n")).alias("least"), F.col("country").isNull().alias("unknown"),
+            "country"))).alias("_top"))
+    return per_product.withColumn("top_country", F.col("_top.country")).drop("_top")
 
 
 def products_overview(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -68,7 +67,7 @@ def products_overview(t: Tables, p: Params = DEFAULT) -> DataFrame:
       * top country: lines per (product, country), first by count desc,
         then country.
     """
-    per_product, top = order_measures(t)
+    per_product = order_measures(t)
     searches = t.searches_for_products.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("total_searches"))
     o = F.coalesce(F.col("total_orders"), F.lit(0))
@@ -78,7 +77,6 @@ def products_overview(t: Tables, p: Params = DEFAULT) -> DataFrame:
             .join(product_rating(t), "product_id", "left")
             .join(searches, "product_id", "left")
             .join(per_product, "product_id", "left")
-            .join(top, "product_id", "left")
             .select(
                 "product_id", "name",
                 F.coalesce(F.col("rating"), F.lit(0.0)).alias("rating"),
@@ -97,11 +95,11 @@ def top_rated_products(t: Tables, p: Params = DEFAULT) -> DataFrame:
     Only the overview's rating, order count and top country are built; the
     same values as reading the full overview.
     """
-    per_product, top = order_measures(t)
+    per_product = order_measures(t)
     return (t.products.select("product_id", "name")
             .join(product_rating(t), "product_id", "left")
-            .join(per_product.select("product_id", "total_orders"), "product_id", "left")
-            .join(top, "product_id", "left")
+            .join(per_product.select("product_id", "total_orders", "top_country"), "product_id",
+                  "left")
             .select("product_id", "name",
                     F.coalesce(F.col("rating"), F.lit(0.0)).alias("rating"),
                     F.coalesce(F.col("total_orders"), F.lit(0)).cast("bigint").alias("total_orders"),
@@ -123,7 +121,7 @@ def rating_gap(t: Tables, p: Params = DEFAULT) -> DataFrame:
     rating = (product_rating(t).join(t.products.select("product_id"), "product_id", "left_semi")
               .withColumnRenamed("rating", "product_rating"))
     gap = F.col("rating") - F.col("product_rating")
-    return (reviews.join(rating, "product_id")
+    return (salted_join(reviews, rating, ["product_id"], F.col("review_id"))
             .where(gap < F.lit(p.rating_gap))
             .select("review_id", "customer_id", "product_id", "rating", "review_date",
                     gap.alias("gap")))

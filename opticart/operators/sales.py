@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opticart.functions.blocks import VKEY, version_extras
+from opticart.functions.skew import salted_join
 from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
 
@@ -27,8 +28,10 @@ def custom_buyer_spend(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """
     start = dt.date(p.as_of.year - p.spend_lookback_years, 1, 1)   # DATEDIFF(YEAR) <= k
     ext = version_extras(t.selected, t.customizations, versions=t.versions)
-    line = (t.glasses_ordered.join(ext, VKEY)
-            .join(t.products.select("product_id", "price"), "product_id"))
+    # The options and the price of a version form one small table; the lines
+    # of a hot version are dealt to several tasks.
+    priced = ext.join(t.products.select("product_id", "price"), "product_id")
+    line = salted_join(t.glasses_ordered, priced, VKEY, F.col("order_id"))
     spend = F.col("n_feat") * F.col("price") * F.col("units")
     per_order = line.groupBy("order_id").agg(
         F.sum(spend).alias("spend"),
@@ -45,12 +48,12 @@ def custom_buyer_spend(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
 
 def _product_year_stats(lines: DataFrame, in_year: DataFrame, tag: str) -> DataFrame:
-    """Per product: all lines (n, u) and lines of in-year orders (ny, uy)."""
-    total = lines.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias(f"n_{tag}"), F.sum("units").alias(f"u_{tag}"))
-    year = lines.join(in_year, "order_id").groupBy("product_id").agg(
-        F.count(F.lit(1)).alias(f"ny_{tag}"), F.sum("units").alias(f"uy_{tag}"))
-    return total.join(year, "product_id", "left")
+    """Per product: all lines (n, u) and lines of in-year orders (ny, uy), in one pass."""
+    marked = lines.join(in_year.withColumn("_in", F.lit(True)), "order_id", "left")
+    return marked.groupBy("product_id").agg(
+        F.count(F.lit(1)).alias(f"n_{tag}"), F.sum("units").alias(f"u_{tag}"),
+        F.count("_in").alias(f"ny_{tag}"),
+        F.sum(F.when(F.col("_in"), F.col("units"))).alias(f"uy_{tag}"))
 
 
 def top_products_by_units(t: Tables, p: Params = DEFAULT) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opticart.functions.blocks import VKEY, version_extras
@@ -23,8 +23,22 @@ from opticart.sources.conform import Tables
 TOTAL = "decimal(18,2)"
 
 
-def _sign() -> F.Column:
-    return F.when(F.col("op") == "I", F.lit(1)).when(F.col("op") == "D", F.lit(-1))
+DELTA_COLUMNS = ("plus", "minus", "n_plus", "n_minus")
+
+
+def _signed_sums(amount: Column) -> list[Column]:
+    """Sums and row counts of the inserted and of the deleted rows."""
+    out = []
+    for name, op in (("plus", "I"), ("minus", "D")):
+        mine = F.col("op") == op
+        out += [F.sum(F.when(mine, amount)).alias(name),
+                F.count(F.when(mine, F.lit(1))).alias(f"n_{name}")]
+    return out
+
+
+def _of_rows(name: str) -> Column:
+    """The sum of one kind of rows; 0 where there are none."""
+    return F.when(F.coalesce(F.col(f"n_{name}"), F.lit(0)) > 0, F.col(name)).otherwise(F.lit(0))
 
 
 # ------------------------------------------------------------------ D13
@@ -54,24 +68,29 @@ def order_totals_all(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
 # ------------------------------------------------------------------ D14
 def plain_line_deltas(t: Tables, changes: DataFrame) -> DataFrame:
-    """(order_id, delta) of a plain-line change set (op 'I' adds, 'D' removes)."""
+    """(order_id, plus, minus, n_plus, n_minus) of a plain-line change set.
+
+    Op 'I' adds, 'D' removes. The two triggers run one after the other and
+    each sums its own rows, so the sums stay apart, with the number of rows
+    they come from: a sum is NULL when all its amounts are.
+    """
+    amount = F.col("units") * F.col("price")
     return (changes.join(t.products.select("product_id", "price"), "product_id")
-            .groupBy("order_id")
-            .agg(F.sum(_sign() * F.col("units") * F.col("price")).alias("delta")))
+            .groupBy("order_id").agg(*_signed_sums(amount)))
 
 
 def apply_line_deltas(totals: DataFrame, deltas: DataFrame) -> DataFrame:
-    """D14 rule: total + delta for changed orders; a stored NULL stays NULL."""
+    """D14 rule: total + plus - minus for changed orders; a stored NULL and a
+    NULL sum of present rows make the total NULL."""
     return (totals.join(deltas, "order_id", "left")
             .withColumn("total_amount",
-                        F.when(F.col("delta").isNull(), F.col("total_amount"))
-                        .otherwise(F.col("total_amount") + F.col("delta")).cast(TOTAL))
-            .drop("delta"))
+                        (F.col("total_amount") + _of_rows("plus") - _of_rows("minus")).cast(TOTAL))
+            .drop(*DELTA_COLUMNS))
 
 
 # ------------------------------------------------------------------ D15
 def custom_line_deltas(t: Tables, changes: DataFrame) -> DataFrame:
-    """(order_id, delta) of a customised-line change set.
+    """(order_id, plus, minus, n_plus, n_minus) of a customised-line change set.
 
     Per change set and (order, product, version) group of c rows the
     reference sums the extras over rows x options, so every row of the
@@ -85,17 +104,22 @@ def custom_line_deltas(t: Tables, changes: DataFrame) -> DataFrame:
               .join(ext.select(*VKEY, "sum_extra"), VKEY, "left"))
     extra = F.col("_rows") * F.coalesce(F.col("sum_extra"), F.lit(0))
     amount = F.col("_units") * (F.col("price") + extra)
-    return priced.groupBy("order_id").agg(F.sum(_sign() * amount).alias("delta"))
+    return priced.groupBy("order_id").agg(*_signed_sums(amount))
 
 
 def apply_custom_line_deltas(totals: DataFrame, deltas: DataFrame) -> DataFrame:
-    """D15 rule: coalesce(total, 0) + delta for changed orders."""
+    """D15 rule: coalesce(total, 0) + plus - minus for changed orders; a NULL
+    sum of present rows makes the total NULL until the next trigger."""
+    old = F.col("total_amount")
+    added = F.when(F.coalesce(F.col("n_plus"), F.lit(0)) > 0,
+                   F.coalesce(old, F.lit(0)) + F.col("plus")).otherwise(old)
     return (totals.join(deltas, "order_id", "left")
-            .withColumn("total_amount",
-                        F.when(F.col("delta").isNull(), F.col("total_amount"))
-                        .otherwise(F.coalesce(F.col("total_amount"), F.lit(0)) + F.col("delta"))
-                        .cast(TOTAL))
-            .drop("delta"))
+            .withColumn("_added", added)
+            .withColumn("total_amount", F.when(
+                F.coalesce(F.col("n_minus"), F.lit(0)) > 0,
+                F.coalesce(F.col("_added"), F.lit(0)) - F.col("minus"))
+                .otherwise(F.col("_added")).cast(TOTAL))
+            .drop("_added", *DELTA_COLUMNS))
 
 
 def stored_totals_before(t: Tables) -> DataFrame:
@@ -127,20 +151,25 @@ def resolve_emails(t: Tables) -> DataFrame:
             .where(F.col("_n") == 1).drop("_n"))
 
 
+def orders_of_customers(t: Tables) -> DataFrame:
+    """(customer_id, order_id, order_date): the one join of orders and cards,
+    whose shuffles all its readers in a query share."""
+    return (t.orders.select("order_id", "order_date", "card_number")
+            .join(t.credit_cards, "card_number")
+            .select("customer_id", "order_id", "order_date"))
+
+
 def latest_orders(t: Tables, customers: DataFrame | None = None) -> DataFrame:
     """(customer_id, order_id) of each customer's most recent order.
 
     Latest by date, ties by the higher order id: a max over a
     (date, id) struct, i.e. a partial aggregate instead of a sort. With
-    ``customers`` (customer_id) only their cards, and so their orders, are
-    read into the aggregate.
+    ``customers`` (customer_id) only their orders enter the aggregate.
     """
-    cards = t.credit_cards
+    owned = orders_of_customers(t)
     if customers is not None:
-        cards = cards.join(customers.select("customer_id"), "customer_id", "left_semi")
-    return (t.orders.select("order_id", "order_date", "card_number")
-            .join(cards, "card_number")
-            .groupBy("customer_id")
+        owned = owned.join(customers.select("customer_id"), "customer_id", "left_semi")
+    return (owned.groupBy("customer_id")
             .agg(F.max(F.struct("order_date", "order_id")).alias("_m"))
             .select("customer_id", F.col("_m.order_id").alias("order_id")))
 
@@ -150,8 +179,7 @@ def return_requests(t: Tables) -> DataFrame:
     ask to take returned customised items off their latest order."""
     returned = t.lines_with_status(True).where(F.col("return_flag") == "R").select(
         "order_id", "product_id", "version")
-    return (returned.join(t.orders.select("order_id", "card_number"), "order_id")
-            .join(t.credit_cards, "card_number")
+    return (returned.join(orders_of_customers(t), "order_id")
             .join(t.customers.select("customer_id", "email"), "customer_id")
             .select("email", "product_id", "version").distinct())
 

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins at shuffle boundaries
@@ -29,7 +30,7 @@ BASE_CONF = {
 
 def build_session(master: str = "local[8]", app: str = "opticart",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    """Local/test session. On a cluster the submitter's session is used instead."""
+    """Local/test session. A submitted job uses ``job_session``."""
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -43,6 +44,30 @@ def build_session(master: str = "local[8]", app: str = "opticart",
     return spark
 
 
+def job_session(app: str = "opticart") -> SparkSession:
+    """The session of a submitted job, or a local one if no master is configured.
+
+    Whatever was submitted (master, shuffle partitions, memory) stays; of
+    ``BASE_CONF`` only the settings that the submission leaves open are made.
+    """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
+    SparkContext._ensure_initialized()       # reads the submitted properties
+    submitted = SparkConf()
+    if not submitted.contains("spark.master"):
+        return build_session(app=app)
+    builder = SparkSession.builder
+    if not submitted.contains("spark.app.name"):
+        builder = builder.appName(app)
+    for key, value in BASE_CONF.items():
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
@@ -66,6 +91,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh path under the shared checkpoint folder (never a local temp dir)."""
+    """A fresh path under the shared checkpoint folder, deleted when the application ends."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([root, "opticart", *parts, uuid.uuid4().hex])
+    path = "/".join([root, "opticart", *parts, uuid.uuid4().hex])
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop_path)          # only an existing path can be marked
+    fs.deleteOnExit(hadoop_path)
+    return path

@@ -15,42 +15,55 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(12,2)"
 
+# Declared schemas of the driver tables (FIXTURES.md): the columns that are read.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+                "l_returnflag string, l_linestatus string",
+    "events": "event_id bigint, ts timestamp_ntz, event_type string, value double",
+}
+# Every so many parts there is a second product of the same name and price
+# that stands in the catalogue but was never ordered.
+CATALOGUE_ONLY = 40
+
 
 def _div(a: Column, b: int) -> Column:
     """Integer division (floor for the non-negative keys used here)."""
     return F.call_function("div", a, F.lit(b))
 
 
-class Tables:
-    """Conformed tables of one data set (one folder of driver parquet)."""
+def _catalogue_only(part: Column) -> Column:
+    """Id of the catalogue-only product of a part (parts count from 0)."""
+    return -(part + 1)
 
-    _shared: dict[tuple[str, str], "Tables"] = {}
 
-    @classmethod
-    def cached(cls, spark: SparkSession, root: str) -> "Tables":
-        """One instance per (application, folder): the conformed DataFrames
-        are listed and analysed once and reused by every product."""
-        key = (spark.sparkContext.applicationId, root.rstrip("/"))
-        if key not in cls._shared:
-            cls._shared[key] = cls(spark, root)
-        return cls._shared[key]
+class Tables:
+    """Conformed tables of one data set (one folder of driver parquet)."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        """The driver table ``name``; listed and its schema read once per instance."""
-        if name not in self._raw:
-            self._raw[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
-        return self._raw[name]
+        """The driver table ``name`` with its declared schema.
+
+        The files are listed anew by every instance (and the registry makes
+        one per call), so files added to a folder are seen.
+        """
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}.parquet")
 
     # ---------------------------------------------------------- dimensions
     @cached_property
     def products(self) -> DataFrame:
+        key = F.col("p_partkey")
+        ids = F.when(key % CATALOGUE_ONLY == 7, F.array(key, _catalogue_only(key))).otherwise(
+            F.array(key))
         return self.raw("part").select(
-            F.col("p_partkey").alias("product_id"),
+            F.explode(ids).alias("product_id"),
             F.col("p_name").alias("name"),
             F.col("p_retailprice").cast(MONEY).alias("price"),
         )
@@ -102,8 +115,7 @@ class Tables:
     # -------------------------------------------------------------- orders
     @cached_property
     def credit_cards(self) -> DataFrame:
-        o = self.raw("orders")
-        return (o.where(F.col("o_custkey") % 50 != 49)
+        return (self.raw("orders")
                 .select((F.col("o_custkey") * 2 + F.col("o_orderkey") % 2).alias("card_number"),
                         F.col("o_custkey").alias("customer_id"))
                 .distinct())
@@ -147,7 +159,7 @@ class Tables:
         cols += [F.col("l_quantity").cast("int").alias("units"),
                  F.col("l_linestatus").alias("line_status"),
                  F.col("l_returnflag").alias("return_flag")]
-        return self.raw("lineitem").where(kind & (part % 40 != 7)).select(*cols)
+        return self.raw("lineitem").where(kind).select(*cols)
 
     @cached_property
     def ordered(self) -> DataFrame:
@@ -193,17 +205,27 @@ class Tables:
         return self._event_base.where(F.col("event_type").isin("view", "click")).select(
             "customer_id", "dt")
 
+    def _part_of_event(self, factor: int) -> Column:
+        """Events spread over all parts."""
+        parts = self.raw("part").agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+        return (F.col("event_id") * factor) % parts
+
     @cached_property
     def searches_for_products(self) -> DataFrame:
-        return self._event_base.where(F.col("event_type").isin("view", "click")).select(
-            "customer_id", "dt", ((F.col("event_id") * 7) % 200).alias("product_id"))
+        """Half of the searches for a part with a catalogue-only twin are for the twin."""
+        part = F.col("_part")
+        twin = (part % CATALOGUE_ONLY == 7) & (_div(F.col("event_id"), 8) % 2 == 0)
+        return (self._event_base.where(F.col("event_type").isin("view", "click"))
+                .withColumn("_part", self._part_of_event(7))
+                .select("customer_id", "dt",
+                        F.when(twin, _catalogue_only(part)).otherwise(part).alias("product_id")))
 
     @cached_property
     def reviews(self) -> DataFrame:
         return self._event_base.where(F.col("event_type").isin("purchase", "signup")).select(
             F.col("event_id").alias("review_id"),
             "customer_id",
-            ((F.col("event_id") * 13) % 150).alias("product_id"),
+            self._part_of_event(13).alias("product_id"),
             (F.floor("value").cast("int") % 5 + 1).alias("rating"),
             F.col("dt").alias("review_date"),
         )
