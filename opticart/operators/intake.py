@@ -9,6 +9,7 @@ from opticart.functions.email import email_error_code, email_error_message
 from opticart.functions.ranking import global_row_number
 from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
+from opticart.sources.sinks import append_rows
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 
@@ -71,6 +72,13 @@ def email_error_log(intake: DataFrame) -> DataFrame:
         "log_id", F.col("email").alias("email_address"), "error_description", "log_date")
 
 
+def write_intake(intake: DataFrame, customers: str, error_log: str, version: int | str) -> None:
+    """Append the accepted rows to CUSTOMERS and the rejected ones to the error
+    log (one version folder each, so a repeated run replaces its own rows)."""
+    append_rows(accepted_customers(intake), customers, version)
+    append_rows(email_error_log(intake), error_log, version)
+
+
 def add_customer(t: Tables, first_name: str, last_name: str, email: str | None,
                  p: Params = DEFAULT) -> DataFrame:
     """The reference's one-row call: a feed of one row through the same job.

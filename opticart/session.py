@@ -90,12 +90,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of a path."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote."""
+    fs, hadoop_path = file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder, deleted when the application ends."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = "/".join([root, "opticart", *parts, uuid.uuid4().hex])
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = file_system(spark, path)
     fs.mkdirs(hadoop_path)          # only an existing path can be marked
     fs.deleteOnExit(hadoop_path)
     return path

@@ -48,6 +48,10 @@ class Tables:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def refresh(self) -> "Tables":
+        """The same data set as its folder is now."""
+        return Tables(self.spark, self.root)
+
     def raw(self, name: str) -> DataFrame:
         """The driver table ``name`` with its declared schema.
 

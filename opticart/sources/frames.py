@@ -37,6 +37,10 @@ class FrameTables:
             return frames["orders"]
         raise AttributeError(name)
 
+    def refresh(self) -> "FrameTables":
+        """Given frames stay as they are."""
+        return self
+
     @property
     def orders(self) -> DataFrame:
         o = self._frames["orders"]

@@ -3,22 +3,24 @@ micro-batch runs through the same intake job in ``foreachBatch``.
 
 The reference's procedure handles one call at a time, each taking
 max(Customer_ID) + 1. Across micro-batches that means: new ids continue
-from the largest id among the customers and the rows accepted by earlier
-batches, and log ids continue the error log. Earlier batches are read
-from the sink by batch id (strictly smaller), so a replayed batch sees
-the same history and rewrites the same ids into its own folder.
+from the largest id so far, and log ids continue the error log. Each batch
+writes one row with its largest ids (``marks/batch_id=<n>``) and the next one
+reads just that row, so the cost of a batch does not grow with history; if
+the row is missing the batch fails instead of starting over. A replayed
+batch sees the same mark and rewrites the same ids into its own folders:
+``routed`` (every row), ``customers`` and ``email_error_log`` (the rows to
+append to those tables).
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opticart.operators.intake import ACCEPTED, REJECTED, customer_feed, customer_intake
+from opticart.operators.intake import customer_feed, customer_intake, write_intake
 from opticart.params import DEFAULT, Params
-from opticart.session import shared_path
+from opticart.session import drop_path, shared_path
 from opticart.sources.conform import Tables
 
 FEED_SCHEMA = T.StructType([
@@ -27,15 +29,7 @@ FEED_SCHEMA = T.StructType([
     T.StructField("last_name", T.StringType()),
     T.StructField("email", T.StringType()),
 ])
-
-
-def _earlier(spark: SparkSession, sink: str, batch_id: int) -> DataFrame | None:
-    if batch_id == 0:                  # the first batch has no history
-        return None
-    try:
-        return spark.read.parquet(sink).where(F.col("batch_id") < batch_id)
-    except AnalysisException:          # nothing written yet
-        return None
+MARKS = "customer_id bigint, log_id bigint"
 
 
 def start_intake_stream(spark: SparkSession, t: Tables, feed_path: str, sink: str,
@@ -45,13 +39,17 @@ def start_intake_stream(spark: SparkSession, t: Tables, feed_path: str, sink: st
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(feed_path))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        before = _earlier(spark, sink, batch_id)
-        accepted = rejected = None
-        if before is not None:
-            accepted = before.where(F.col("status") == ACCEPTED)
-            rejected = before.where(F.col("status") == REJECTED)
-        routed = customer_intake(t, p, feed=batch, existing_ids=accepted, logged_ids=rejected)
-        routed.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        before = spark.createDataFrame([(None, None)], MARKS)
+        if batch_id > 0:
+            before = spark.read.schema(MARKS).parquet(f"{sink}/marks/batch_id={batch_id - 1}")
+        routed = customer_intake(t, p, feed=batch, existing_ids=before, logged_ids=before)
+        path = f"{sink}/routed/batch_id={batch_id}"
+        routed.write.mode("overwrite").parquet(path)
+        done = spark.read.schema(routed.schema).parquet(path)
+        write_intake(done, f"{sink}/customers", f"{sink}/email_error_log", batch_id)
+        marks = done.select("customer_id", "log_id").unionByName(before).agg(
+            F.max("customer_id").alias("customer_id"), F.max("log_id").alias("log_id"))
+        marks.write.mode("overwrite").parquet(f"{sink}/marks/batch_id={batch_id}")
 
     writer = (feed.writeStream.foreachBatch(handle)
               .option("checkpointLocation", checkpoint))
@@ -61,26 +59,25 @@ def start_intake_stream(spark: SparkSession, t: Tables, feed_path: str, sink: st
 
 
 def replay_customer_feed(t: Tables, p: Params = DEFAULT) -> str:
-    """Write the data's customer feed in two arrival chunks, run the stream
-    to its end and return the sink folder."""
+    """Let the data's customer feed arrive in two parts (by feed order), run the
+    stream to the end of each and return the sink folder."""
     spark = t.spark
     feed_path, base = shared_path(spark, "intake-feed"), shared_path(spark, "intake")
     feed = customer_feed(t)
-    # Arrival in two chunks by feed order: the first half, then the rest.
-    # The cut is one number, fixed once so both chunks use the same value.
+    # The cut is one number, fixed once so both parts use the same value.
     cut = feed.agg(F.percentile_approx("feed_seq", 0.5)).first()[0]
-    first = feed.where(F.col("feed_seq") <= cut)
-    first.write.mode("append").parquet(feed_path)
-    n_first = len(spark.read.schema(FEED_SCHEMA).parquet(feed_path).inputFiles())
-    feed.where(F.col("feed_seq") > cut).write.mode("append").parquet(feed_path)
-    q = start_intake_stream(spark, t, feed_path, f"{base}/routed", f"{base}/checkpoint", p,
-                            max_files_per_trigger=max(n_first, 1))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return f"{base}/routed"
+    for part in (feed.where(F.col("feed_seq") <= cut), feed.where(F.col("feed_seq") > cut)):
+        part.write.mode("append").parquet(feed_path)
+        q = start_intake_stream(spark, t, feed_path, base, f"{base}/checkpoint", p)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    drop_path(spark, feed_path)
+    drop_path(spark, f"{base}/checkpoint")
+    return base
 
 
 def customer_intake_stream(t: Tables, p: Params = DEFAULT, sink: str | None = None) -> DataFrame:
     """D22, streaming use: the routed rows of the streamed intake (as the batch intake)."""
-    return t.spark.read.parquet(sink or replay_customer_feed(t, p)).drop("batch_id")
+    sink = sink or replay_customer_feed(t, p)
+    return t.spark.read.parquet(f"{sink}/routed").drop("batch_id")

@@ -2,25 +2,19 @@
 
 The reference keeps ORDERS.Total_Amount current with AFTER INSERT/DELETE
 triggers on both line tables. Here the line changes arrive as files
-(op 'I' / 'D', kind 'plain' / 'glasses'). Two sink modes:
-
-``deltas`` (default). Each micro-batch is handed to ``foreachBatch`` as a
-batch DataFrame, priced and reduced to signed per-order deltas, and
-appended under ``batch_id=<n>``. Because the pricing join runs as a batch
-job, AQE applies: a hot product or order is split, small sides are
-broadcast at runtime. No state store is needed. Readers sum the deltas per
-order (a partial aggregate); ``compact`` folds old batches into a base
-snapshot.
-
-``state``. The stream is priced by a stream-static join and folded into
-keyed running state (``groupBy(order_id).sum`` in update mode, RocksDB
-state store); ``foreachBatch`` writes the updated rows per batch and
-readers take the value of the highest batch id. Streaming plans run
-without AQE, so a hot key is not split in this mode.
-
-In both modes a retried batch overwrites its own folder, so the sink is
-idempotent and the query's checkpoint gives exactly-once totals. No
-watermark: orders never expire in the reference.
+(op 'I' / 'D', kind 'plain' / 'glasses'). Each micro-batch is handed to
+``foreachBatch`` as a batch DataFrame, priced with the products and options
+as they are at that moment, reduced to signed per-order deltas and written
+to ``deltas/batch_id=<n>``. The pricing runs as a batch job, so hot products
+are salted and the engine re-plans at run time; no state store is needed.
+
+Every ``COMPACT_EVERY`` batches the older deltas are folded into a new base
+(``base/upto=<n>``) and their folders deleted, so the sink does not grow with
+the number of batches; readers add the later deltas to the latest base.
+
+A retried batch overwrites its own folder and only batches before the
+current one are folded, so the sink is idempotent and the query's checkpoint
+gives exactly-once totals. No watermark: orders never expire in the reference.
 """
 
 from __future__ import annotations
@@ -30,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opticart.functions.blocks import VKEY, version_extras
-from opticart.session import shared_path
+from opticart.functions.skew import salted_join
+from opticart.session import drop_path, file_system, shared_path
 from opticart.sources.conform import Tables
 
 FEED_SCHEMA = T.StructType([
@@ -41,9 +36,12 @@ FEED_SCHEMA = T.StructType([
     T.StructField("version", T.IntegerType()),
     T.StructField("units", T.IntegerType()),
 ])
+DELTAS = "order_id bigint, delta decimal(38,2)"
+BASE = "order_id bigint, total_amount decimal(38,2)"
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 TOTAL = "decimal(18,2)"
+COMPACT_EVERY = 20
+FILES_PER_TRIGGER = 64      # bounds a micro-batch, also the first one
 
 
 def feed_rows(lines: DataFrame, op: str, kind: str) -> DataFrame:
@@ -66,30 +64,11 @@ def change_feed(t: Tables) -> list[DataFrame]:
     ]
 
 
-def write_feed(chunks: list[DataFrame], path: str) -> list[int]:
-    """Append the chunks in arrival order; returns the file count after each."""
-    counts = []
-    for chunk in chunks:
-        chunk.write.mode("append").parquet(path)
-        counts.append(len(chunk.sparkSession.read.schema(FEED_SCHEMA).parquet(path).inputFiles()))
-    return counts
-
-
-def materialize_extras(t: Tables, path: str) -> DataFrame:
-    """Options' extras per version, written once as the static side.
-
-    Written to the shared folder so micro-batches join a plain parquet
-    scan instead of recomputing the aggregate over all customised lines.
-    """
-    ext = version_extras(t.selected, t.customizations).select(*VKEY, "sum_extra")
-    ext.write.mode("overwrite").parquet(path)
-    return t.spark.read.parquet(path)
-
-
 def signed_amounts(feed: DataFrame, products: DataFrame, extras: DataFrame) -> DataFrame:
     """(order_id, amount): price each change row and sign it by op."""
-    priced = (feed.join(products.select("product_id", "price"), "product_id")
-              .join(extras, VKEY, "left"))
+    by = F.col("order_id")
+    priced = salted_join(feed, products.select("product_id", "price"), ["product_id"], by)
+    priced = salted_join(priced, extras.select(*VKEY, "sum_extra"), VKEY, by, "left")
     extra = F.when(F.col("kind") == "glasses", F.coalesce(F.col("sum_extra"), F.lit(0))).otherwise(
         F.lit(0))
     sign = F.when(F.col("op") == "I", F.lit(1)).when(F.col("op") == "D", F.lit(-1))
@@ -98,100 +77,99 @@ def signed_amounts(feed: DataFrame, products: DataFrame, extras: DataFrame) -> D
 
 
 def start_totals_stream(spark: SparkSession, t: Tables, feed_path: str, out_path: str,
-                        checkpoint: str, extras_path: str, mode: str = "deltas",
-                        max_files_per_trigger: int = 1000, available_now: bool = True):
+                        checkpoint: str, max_files_per_trigger: int = FILES_PER_TRIGGER,
+                        available_now: bool = True):
     """Start the streaming query; returns the StreamingQuery."""
-    extras = materialize_extras(t, extras_path)
     feed = (spark.readStream.schema(FEED_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(feed_path))
-    if mode == "deltas":
-        products = t.products.select("product_id", "price")
-
-        def write_batch(batch: DataFrame, batch_id: int) -> None:
-            deltas = signed_amounts(batch, products, extras).groupBy("order_id").agg(
-                F.sum("amount").alias("delta"))
-            deltas.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-
-        writer = feed.writeStream.foreachBatch(write_batch)
-    elif mode == "state":
-        # One state row per order: prefer the RocksDB store (off-heap, spills
-        # to disk) unless the session chose a provider other than the default.
-        key = "spark.sql.streaming.stateStore.providerClass"
-        if spark.conf.get(key, "").endswith("HDFSBackedStateStoreProvider"):
-            spark.conf.set(key, ROCKSDB)
-        totals = signed_amounts(feed, t.products, extras).groupBy("order_id").agg(
-            F.sum("amount").alias("total_amount"))
-
-        def write_state(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-
-        writer = totals.writeStream.outputMode("update").foreachBatch(write_state)
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    writer = writer.option("checkpointLocation", checkpoint)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        now = t.refresh()        # options and prices as they are now
+        wanted = batch.select(*VKEY).distinct()
+        extras = version_extras(now.selected.join(wanted, VKEY, "left_semi"), now.customizations)
+        deltas = signed_amounts(batch, now.products, extras).groupBy("order_id").agg(
+            F.sum("amount").cast("decimal(38,2)").alias("delta"))
+        deltas.write.mode("overwrite").parquet(f"{out_path}/deltas/batch_id={batch_id}")
+        if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+            compact(spark, out_path, batch_id - 1)
+
+    writer = feed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="10 seconds")
     return writer.start()
 
 
-def read_totals(spark: SparkSession, out_path: str, mode: str = "deltas",
-                base: DataFrame | None = None, after_batch: int | None = None) -> DataFrame:
-    """(order_id, total_amount) from the sink (a partial aggregate).
+def _numbered(spark: SparkSession, root: str, prefix: str) -> list[int]:
+    """The numbers n of the finished folders ``<root>/<prefix>=<n>``, ascending.
 
-    ``deltas``: the sum of the batches' deltas; with a compacted ``base``
-    only batches after ``after_batch`` are added to it.
-    ``state``: the value written by the highest batch id.
+    One entry per batch since the last compaction and one per base: few.
     """
-    updates = spark.read.parquet(out_path)
-    if after_batch is not None:
-        updates = updates.where(F.col("batch_id") > after_batch)
-    if mode == "state":
-        return updates.groupBy("order_id").agg(
-            F.max_by("total_amount", "batch_id").alias("total_amount"))
-    deltas = updates.select("order_id", F.col("delta").alias("total_amount"))
-    if base is not None:
-        deltas = deltas.unionByName(base.select("order_id", "total_amount"))
-    return deltas.groupBy("order_id").agg(F.sum("total_amount").alias("total_amount"))
-
-
-def compact(spark: SparkSession, out_path: str, upto_batch: int, snapshot_path: str,
-            base: DataFrame | None = None) -> DataFrame:
-    """Fold the deltas of batches <= upto_batch (and an older base) into a new
-    base snapshot; readers then combine it with the later batches only."""
-    updates = spark.read.parquet(out_path).where(F.col("batch_id") <= upto_batch)
-    folded = updates.select("order_id", F.col("delta").alias("total_amount"))
-    if base is not None:
-        folded = folded.unionByName(base.select("order_id", "total_amount"))
-    folded.groupBy("order_id").agg(F.sum("total_amount").alias("total_amount")) \
-        .write.mode("overwrite").parquet(snapshot_path)
-    return spark.read.parquet(snapshot_path)
-
-
-def replay_change_feed(t: Tables, mode: str = "deltas") -> str:
-    """Write the data's change feed to the shared folder, run the stream to
-    the end of it (availableNow) and return the sink folder."""
+    fs, path = file_system(spark, root)
+    if not fs.exists(path):
+        return []
+    out = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        done = file_system(spark, f"{root}/{name}/_SUCCESS")
+        if name.startswith(f"{prefix}=") and done[0].exists(done[1]):
+            out.append(int(name.partition("=")[2]))
+    return sorted(out)
+
+
+def read_totals(spark: SparkSession, out_path: str, upto: int | None = None) -> DataFrame:
+    """(order_id, total_amount): the latest base plus the deltas after it
+    (up to batch ``upto``, if given)."""
+    bases = _numbered(spark, f"{out_path}/base", "upto")
+    last = bases[-1] if bases else -1
+    paths = [f"{out_path}/deltas/batch_id={n}" for n in _numbered(spark, f"{out_path}/deltas",
+                                                                  "batch_id")
+             if n > last and (upto is None or n <= upto)]
+    parts = spark.createDataFrame([], BASE)
+    if paths:
+        parts = parts.unionByName(spark.read.schema(DELTAS).parquet(*paths)
+                                  .withColumnRenamed("delta", "total_amount"))
+    if bases:
+        parts = parts.unionByName(spark.read.schema(BASE).parquet(f"{out_path}/base/upto={last}"))
+    return parts.groupBy("order_id").agg(F.sum("total_amount").alias("total_amount"))
+
+
+def compact(spark: SparkSession, out_path: str, upto: int) -> None:
+    """Fold the deltas of batches <= ``upto`` into a new base and delete them."""
+    old = _numbered(spark, f"{out_path}/base", "upto")
+    if old and old[-1] >= upto:
+        return
+    folded = read_totals(spark, out_path, upto).select(
+        "order_id", F.col("total_amount").cast("decimal(38,2)").alias("total_amount"))
+    folded.write.mode("overwrite").parquet(f"{out_path}/base/upto={upto}")
+    for n in old:
+        drop_path(spark, f"{out_path}/base/upto={n}")
+    for n in _numbered(spark, f"{out_path}/deltas", "batch_id"):
+        if n <= upto:
+            drop_path(spark, f"{out_path}/deltas/batch_id={n}")
+
+
+def replay_change_feed(t: Tables) -> str:
+    """Let the data's change feed arrive in two parts, run the stream to the
+    end of each (availableNow) and return the sink folder."""
     spark = t.spark
-    feed_path = shared_path(spark, "feeds")
-    base = shared_path(spark, "stream")
-    counts = write_feed(change_feed(t), feed_path)
-    # One trigger takes as many files as the first arrival wrote, so the
-    # stored lines form the first micro-batch and the changes follow.
-    q = start_totals_stream(spark, t, feed_path, f"{base}/totals", f"{base}/checkpoint",
-                            f"{base}/extras", mode=mode,
-                            max_files_per_trigger=max(counts[0], 1))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    feed_path, base = shared_path(spark, "feeds"), shared_path(spark, "stream")
+    for chunk in change_feed(t):
+        chunk.write.mode("append").parquet(feed_path)
+        q = start_totals_stream(spark, t, feed_path, f"{base}/totals", f"{base}/checkpoint")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    drop_path(spark, feed_path)
+    drop_path(spark, f"{base}/checkpoint")
     return f"{base}/totals"
 
 
-def stream_order_totals(t: Tables, p=None, sink: str | None = None,
-                        mode: str = "deltas") -> DataFrame:
+def stream_order_totals(t: Tables, p=None, sink: str | None = None) -> DataFrame:
     """D16 over the data: replay the change feed through the stream and
     return every order with its maintained total (0 when it has none).
 
     Equals D13 on the final lines (fulfilled-not-returned plus open)."""
-    totals = read_totals(t.spark, sink or replay_change_feed(t, mode), mode)
+    totals = read_totals(t.spark, sink or replay_change_feed(t))
     return t.orders_geo.join(totals, "order_id", "left").select(
         "order_id", "order_date", "card_number", "country",
         F.coalesce(F.col("total_amount"), F.lit(0)).cast(TOTAL).alias("total_amount"))

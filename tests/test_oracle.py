@@ -3,16 +3,18 @@
 import pytest
 
 import __spark_entry__ as entry
+from opticart import oracle, registry
 from tests.conftest import SMALL
 from tests.helpers import same_result
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
     assert len(QUERIES) == 23     # D01-D22 and the streaming form of D22
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

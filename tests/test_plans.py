@@ -3,11 +3,11 @@ exchanges only over bounded inputs, filters and columns reach the scans."""
 
 import pytest
 
-import __spark_entry__ as entry
+from opticart import registry
 from opticart.plans.inspect import plan_text, summarize
 from tests.conftest import SMALL
 
-QUERIES = entry.queries()
+QUERIES = registry.queries()
 # Single-partition exchanges that sit on bounded inputs: the per-country
 # window total, the global min/max and max-id partial aggregates (one row
 # per task), the per-year LAG, and the ranking's offsets window over one
