@@ -31,6 +31,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def run_hashes(values: Column, n: int) -> Column:
+    """Hash of each run of ``n`` neighbours of an array, by the run's first place.
+
+    The elements are read one by one: cutting out a slice per place costs
+    several times as much.
+    """
+    def hashed(a: Column) -> Column:
+        count = F.greatest(F.size(a) - (n - 1), F.lit(0))
+        return F.transform(F.slice(a, F.lit(1), count), lambda first, i: F.xxhash64(
+            first, *[F.get(a, i + k) for k in range(1, n)]))
+
+    return let(values, hashed)
+
+
 def words_of(text: Column) -> Column:
     """The words of a text; an empty array for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS), "")

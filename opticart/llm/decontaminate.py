@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opticart.llm.common import SPACE_CLASS, fresh, let, materialise, null_safe
+from opticart.llm.common import SPACE_CLASS, fresh, let, materialise, null_safe, run_hashes
 
 WINDOW = 5
 MIN_LITERAL = 3
@@ -66,12 +66,7 @@ def _is_slot(word: Column) -> Column:
 
 def _hashes(words: Column) -> Column:
     """Hash of each window of template words, by position."""
-    def windows(h: Column) -> Column:
-        n = F.greatest(F.size(h) - (WINDOW - 1), F.lit(0))
-        return F.transform(F.slice(h, F.lit(1), n),
-                           lambda _, i: F.xxhash64(F.slice(h, i + 1, F.lit(WINDOW))))
-
-    return let(F.transform(words, lambda w: F.xxhash64(_token(w))), windows)
+    return run_hashes(F.transform(words, lambda w: F.xxhash64(_token(w))), WINDOW)
 
 
 def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id",

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opticart.llm.common import fresh, let, materialise, words_of
+from opticart.llm.common import fresh, let, materialise, run_hashes, words_of
 
 WINDOW = 5
 SYMBOLS = r"[#*$%&|<>]"
@@ -72,12 +72,7 @@ def _repeat_words(words: Column) -> Column:
             (p + WINDOW).alias("end"),
             (a["n"] + p + WINDOW - F.greatest(a["end"], p)).alias("n")), lambda a: a["n"])
 
-    def windows(hw: Column) -> Column:
-        n = F.size(hw) - (WINDOW - 1)
-        return F.transform(F.slice(hw, F.lit(1), F.greatest(n, F.lit(0))),
-                           lambda _, i: F.xxhash64(F.slice(hw, i + 1, F.lit(WINDOW))))
-
-    hashed = let(F.transform(words, lambda w: F.xxhash64(w)), windows)
+    hashed = run_hashes(F.transform(words, lambda w: F.xxhash64(w)), WINDOW)
     return let(hashed, lambda h: F.when(
         F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(F.lit(0))).cast("long")
 

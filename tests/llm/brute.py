@@ -72,7 +72,7 @@ def late_lines(rows):
     lines = []
     for i, (d, t) in enumerate(rows):
         for k, line in enumerate((t or "").split("\n") if t is not None else []):
-            s = frozenset(words(line))
+            s = grams(line)
             if s:
                 key = (-1 if d is None else d, k)
                 lines.append((key, i, k, s))
