@@ -40,7 +40,11 @@ def summarize(text: str, simple: str | None = None) -> PlanSummary:
     head = simple if simple is not None else text
     s.exchanges = len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|"
                                  r"Exchange SinglePartition|Exchange RoundRobin", head))
-    s.single_partition = len(re.findall(r"Exchange SinglePartition", head))
+    # A single partition that only takes the partial results of a global
+    # aggregate gets one row per task and is not counted.
+    s.single_partition = len(re.findall(
+        r"Exchange SinglePartition(?![^\n]*\n[^\n]*HashAggregate\(keys=\[\], "
+        r"functions=\[(?:partial_|merge_))", head))
     s.nested_loop = len(re.findall(r"BroadcastNestedLoopJoin", head))
     s.cartesian = len(re.findall(r"CartesianProduct", head))
     s.python_udf = len(re.findall(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas", head))

@@ -104,6 +104,18 @@ def test_discount_scaling_and_fanout(spark):
     assert out == {1: 0.5, 2: 0.1, 3: None}
 
 
+def test_discount_keeps_what_is_stored(spark):
+    """Products that do not qualify keep their old discount."""
+    t = make(spark,
+             products=[(1, "a", D("1.00")), (2, "b", D("1.00")), (3, "c", D("1.00"))],
+             orders=[(1, dt.date(2000, 1, 1), 1, "A"), (2, dt.date(2001, 7, 30), 1, "A")],
+             ordered=[(1, 1, 1), (2, 2, 1), (2, 3, 1)],
+             reviews=[(1, 1, 1, 4, DAY)])
+    stored = spark.createDataFrame([(1, 0.2), (2, 0.3)], "product_id long, discount double")
+    out = dict(rows(discounts.low_seller_discounts(t, stored=stored), "product_id", "discount"))
+    assert out == {1: 0.5, 2: 0.3, 3: None}
+
+
 # ------------------------------------------------------ B4 global NTILE
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 7, 13, 41])
 def test_global_ntile_equals_window_ntile(spark, n):
@@ -143,9 +155,9 @@ def test_repeated_custom_change_rows_multiply_extras(spark):
              orders=[(1, DAY, 1, "A")])
     changes = spark.createDataFrame([("I", 1, 1, 1, 2), ("I", 1, 1, 1, 3)],
                                     "op string, order_id long, product_id long, version int, units int")
-    delta = totals.custom_line_deltas(t, changes).collect()[0]["delta"]
+    r = totals.custom_line_deltas(t, changes).collect()[0]
     # each of the 2 rows pays 2 x 10.00 of extras: (2 + 3) * (100 + 20)
-    assert delta == D("600.00")
+    assert (r["plus"], r["minus"], r["n_plus"], r["n_minus"]) == (D("600.00"), None, 1, 0)
 
 
 def test_stored_null_rules(spark):
@@ -164,6 +176,34 @@ def test_stored_null_rules(spark):
     assert out == {1: D("6.00"), 2: D("5.00")}      # NULL counts as 0 (customised trigger)
 
 
+def test_null_amounts_are_not_no_rows(spark):
+    """A change set whose amounts are all NULL makes the total NULL."""
+    t = make(spark, products=[(1, "a", None), (2, "b", D("2.00"))],
+             glasses_ordered=[(1, 1, 1, 1)], orders=[(1, DAY, 1, "A"), (2, DAY, 1, "A")])
+    stored = spark.createDataFrame([(1, D("5.00")), (2, D("5.00")), (3, D("5.00"))],
+                                   "order_id long, total_amount decimal(18,2)")
+    plain = spark.createDataFrame([("I", 1, 1, 3), ("I", 2, 2, 1), ("D", 2, 2, 2)],
+                                  "op string, order_id long, product_id long, units int")
+    out = dict(rows(totals.apply_line_deltas(stored, totals.plain_line_deltas(t, plain)),
+                    "order_id", "total_amount"))
+    assert out == {1: None, 2: D("3.00"), 3: D("5.00")}
+    custom = plain.selectExpr("op", "order_id", "product_id", "1 AS version", "units")
+    out = dict(rows(totals.apply_custom_line_deltas(stored, totals.custom_line_deltas(t, custom)),
+                    "order_id", "total_amount"))
+    assert out == {1: None, 2: D("3.00"), 3: D("5.00")}
+
+
+def test_customers_without_orders_rank_last(spark):
+    """No order means no ratio: NULL, and last in the ranking."""
+    t = make(spark,
+             customers=[(i, "f", "l", None) for i in range(1, 9)],
+             searches=[(i, DAY + dt.timedelta(days=k)) for i in range(1, 9) for k in range(i)],
+             credit_cards=[(i * 10, i) for i in range(1, 8)],     # customer 8 has no card
+             orders=[(i, DAY, i * 10, "A") for i in range(1, 7)])  # customer 7 no order
+    out = windows.search_to_order_quartile(t)
+    assert rows(out, "customer_id", "ratio") == [(5, D("5.000")), (6, D("6.000"))]
+
+
 # ------------------------------------------------ D02 overlapping types
 def test_top_products_closed_form_on_overlapping_subtypes(spark):
     y = dt.date(2000, 5, 1)
@@ -172,20 +212,11 @@ def test_top_products_closed_form_on_overlapping_subtypes(spark):
              orders=[(1, y, 1, "A"), (2, dt.date(1999, 5, 1), 1, "A"), (3, y, 1, "A")],
              ordered=[(1, 1, 2), (2, 1, 5), (3, 2, 7), (9, 1, 4)],
              glasses_ordered=[(2, 1, 1, 3), (1, 1, 1, 11), (2, 3, 1, 6)])
-    for name in ("products", "ordered", "glasses_ordered"):
-        getattr(t, name).createOrReplaceTempView(f"e_{name}")
-    t.orders_geo.createOrReplaceTempView("e_orders")
-    literal = spark.sql("""
-        SELECT P.name, CAST(SUM(COALESCE(O.units, 0) + COALESCE(G.units, 0)) AS BIGINT) AS amount
-        FROM e_products P
-        LEFT JOIN e_ordered O ON P.product_id = O.product_id
-        LEFT JOIN e_orders Ord1 ON O.order_id = Ord1.order_id
-        LEFT JOIN e_glasses_ordered G ON P.product_id = G.product_id
-        LEFT JOIN e_orders Ord2 ON G.order_id = Ord2.order_id
-        WHERE (year(Ord1.order_date) = 2000 OR year(Ord2.order_date) = 2000)
-        GROUP BY P.name""")
+    # Product 1: plain lines 2 (in the year), 5 and 4 (not); customised 11 (in), 3 (not).
+    # Pairs with an in-year side: (2,3) (2,11) (5,11) (4,11) -> 5 + 13 + 16 + 15 = 49.
+    # Product 2: its line of 7 alone; product 3: its line of 6 is off-year.
     ours = sales.top_products_by_units(t)
-    assert rows(ours, "name", "amount") == rows(literal, "name", "amount")
+    assert rows(ours, "name", "amount") == [("n1", 49 + 7)]
 
 
 # ------------------------------------------------------- D22 e-mail rules
