@@ -12,6 +12,10 @@ Every ``COMPACT_EVERY`` batches the older deltas are folded into a new base
 (``base/upto=<n>``) and their folders deleted, so the sink does not grow with
 the number of batches; readers add the later deltas to the latest base.
 
+Each change row pays its version's extras once. The customised-line trigger
+(D15, ``totals.custom_line_deltas``) multiplies them by the number of equal
+rows in one change set, so the two differ on change sets with repeated rows.
+
 A retried batch overwrites its own folder and only batches before the
 current one are folded, so the sink is idempotent and the query's checkpoint
 gives exactly-once totals. No watermark: orders never expire in the reference.
