@@ -202,7 +202,7 @@ def _inside() -> Column:
         ok = ok & (_value(m) <= F.col(f"hi{i}"))
         if m.lower:
             ok = ok & (_value(m) >= F.col(f"lo{i}"))
-    return F.coalesce(ok, F.lit(False))
+    return ok
 
 
 def judged(stats: DataFrame, fences: DataFrame) -> DataFrame:
@@ -219,7 +219,10 @@ def judged(stats: DataFrame, fences: DataFrame) -> DataFrame:
         joined = (stats.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
                   .join(salted, ["g_lang", "g_source", "salt"], "left"))
     failed = base_failed()
-    return joined.withColumn("base_failed", failed).withColumn("kept", ~failed & _inside())
+    # One expression over both sides of the join: a filter on it cannot be split
+    # and pushed below the measures, which would compute them again.
+    kept = F.coalesce(~failed & _inside(), F.lit(False))
+    return joined.withColumn("base_failed", failed).withColumn("kept", kept)
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
