@@ -38,7 +38,7 @@ SEQUENCE_BITS = 33
 # Texts above this go to `tokenizers` itself: the faster library's pattern
 # matcher has limits on very long runs of one character class.
 PLAIN_CHARS = 1_000_000
-BATCH_PIECES = 50_000
+BATCH_PIECES = 8_000
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
