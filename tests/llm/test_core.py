@@ -99,6 +99,24 @@ def test_packing(spark, frame, edge_pairs):
     assert padding < 0.01 * tokens
 
 
+@pytest.mark.parametrize("limit", [packing.PLAIN_CHARS, 5])
+def test_added_tokens_keep_their_id(monkeypatch, limit):
+    """The ids of the default call of ``tokenizers``, also around its added tokens."""
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    monkeypatch.setattr(packing, "PLAIN_CHARS", limit)
+    default = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing.Encoder()
+    end = "<|endoftext|>"
+    for text in (f"first doc{end}second doc", end, end * 3, f"  a \n {end}  \n b {end}", f" {end}\t",
+                 f"<|endoftext{end}|> it's {end}'s", "<|endoftext|", f"x{end}1234{end}\r\n中 été"):
+        ids = default.encode(text, add_special_tokens=False).ids
+        assert encode(text).tolist() == ids + [packing.END_ID]
+    assert len(encode(f"first doc{end}second doc")) == 6
+
+
 def test_packing_repeated_rows(frame, edge_pairs):
     got = packing.pack(frame([(2, "same text"), (2, "same text")])).collect()
     assert sum(p.length for p in got) == 2 * got[0].doc_tokens
