@@ -13,7 +13,8 @@ Nothing is looked up and nothing shuffled; every task works alone.
 Defined cases: null text stays null; texts without such values are returned
 as they are; repeated rows are treated alike; an empty table gives an empty
 result; other columns are ignored. Numbers that fail their check are no
-personal data and stay.
+personal data and stay; a candidate that fails is first tried shorter, then as
+the later kinds, and the search goes on at its next character.
 """
 
 from __future__ import annotations
@@ -43,6 +44,15 @@ MONTHS = ("January February March April May June July August September October N
           "December").split()
 
 
+# Lengths of account numbers by country (ISO 13616 registry).
+IBAN_LENGTH = {country: int(n) for n, countries in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV "
+    "22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL,TN "
+    "24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+    "28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC "
+    "32:LC 33:RU").split()) for country in countries.split(",")}
+
+
 def _draw(key: bytes, tweak: str, round_no: int, value: int, modulus: int) -> int:
     h = hashlib.blake2b(f"{tweak}|{round_no}|{value}".encode(), key=key[:64], digest_size=24)
     return int.from_bytes(h.digest(), "big") % modulus
@@ -159,7 +169,7 @@ def ssn(text: str, key: bytes) -> str | None:
 
 def iban(text: str, key: bytes) -> str | None:
     plain = text.replace(" ", "")
-    if not 15 <= len(plain) <= 34:
+    if not 15 <= len(plain) <= 34 or len(plain) != IBAN_LENGTH.get(plain[:2].upper(), len(plain)):
         return None
     as_number = int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4]))
     if as_number % 97 != 1:
@@ -243,21 +253,27 @@ def date(text: str, key: bytes) -> str | None:
 
 
 _MONTH = "(?:" + "|".join(m if len(m) < 4 else f"{m[:3]}(?:{m[3:]})?" for m in MONTHS) + ")"
-_FIND = re.compile(
-    r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
-    r"|(?P<secret>\b(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|auth[_-]?key)"
-    r"\s{0,3}[=:]\s{0,3}(?:\"[A-Za-z0-9_\-+/=.]{16,}\"|'[A-Za-z0-9_\-+/=.]{16,}'"
-    r"|[A-Za-z0-9_\-+/=.]{16,}))"
-    r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
-    r"|(?P<date>(?<![\w.-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}"
-    r"|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4}"
-    rf"|\d{{1,2}} {_MONTH} \d{{4}}|{_MONTH} \d{{1,2}}, \d{{4}})(?![\w-]|\.\d))"
-    r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
-    r"|(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d))"
-    r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}"
-    r"(?![\w-]|\.\d)|(?<![\w.])\+\d{8,14}(?!\w))",
-    re.I)
+_KINDS = {
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "secret": r"\b(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|auth[_-]?key)"
+              r"\s{0,3}[=:]\s{0,3}(?:\"[A-Za-z0-9_\-+/=.]{16,}\"|'[A-Za-z0-9_\-+/=.]{16,}'"
+              r"|[A-Za-z0-9_\-+/=.]{16,})",
+    "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "date": r"(?<![\w.-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}"
+            r"|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4}"
+            rf"|\d{{1,2}} {_MONTH} \d{{4}}|{_MONTH} \d{{1,2}}, \d{{4}})(?![\w-]|\.\d)",
+    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
+    "card": r"(?:(?<![\w.-])|(?<=\d-))\d(?:[ -]?\d){12,18}(?!\w|-(?!\d)|\.\d)",
+    "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}"
+             r"(?![\w-]|\.\d)|(?<![\w.])\+\d{8,14}(?!\w)",
+}
+_FIND = re.compile("|".join(f"(?P<{kind}>{body})" for kind, body in _KINDS.items()), re.I)
+_ONE = {kind: re.compile(body, re.I) for kind, body in _KINDS.items()}
+_ORDER = list(_KINDS)
+# A part of a failed candidate that is written like a card number: whole or in
+# groups of four and more, with a first digit that card issuers have.
+_GROUPED = re.compile(r"(?=[3-6]|2[2-7])\d{4,}(?:[ -]\d{4,})*(?:[ -]\d{1,3})?")
 _MAKE = {"email": email, "secret": secret, "iban": iban, "ip": ip, "card": card, "phone": phone,
          "ssn": ssn, "date": date}
 _HINT = re.compile(r"[0-9@]|token|secret|passw|pwd|key", re.I)
@@ -269,26 +285,65 @@ def pseudonym(kind: str, text: str, key: bytes) -> str | None:
     return _MAKE[kind](text, key)
 
 
+def _ends(kind: str, text: str, start: int, end: int, rest: bool) -> Iterator[int]:
+    """Where a value of the kind may end, the longest first; ``rest``: it starts
+    inside a card candidate that failed."""
+    if kind == "iban":
+        length = IBAN_LENGTH.get(text[start:start + 2].upper())
+        cuts = [m.end() for m in re.compile(r"[A-Za-z0-9]\b").finditer(text, start, end)]
+        if length is None:
+            yield from reversed(cuts)
+        else:
+            yield from (c for c in cuts if c - start - text.count(" ", start, c) == length)
+    elif kind == "card":
+        if not rest:
+            yield end
+        cuts = [m.start() for m in re.compile(r"[ -]").finditer(text, start, end)]
+        yield from (c for c in [end, *reversed(cuts)] if _GROUPED.fullmatch(text, start, c))
+    else:
+        yield end
+
+
+def _value(kind: str, m: re.Match, key: bytes, rest: bool) -> tuple[int, str] | None:
+    """End and pseudonym of the longest valid value at the start of a candidate."""
+    for end in _ends(kind, m.string, m.start(), m.end(), rest):
+        new = pseudonym(kind, m.string[m.start():end], key)
+        if new is not None:
+            return end, new
+    return None
+
+
+def _next_card(text: str, start: int, end: int, key: bytes) -> int | None:
+    """Where the next valid card number starts in a failed candidate."""
+    while (m := _ONE["card"].search(text, start)) and m.start() < end:
+        if _value("card", m, key, True):
+            return m.start()
+        start = m.start() + 1
+    return None
+
+
 def redact(text: str, key: bytes, found: Counter | None = None) -> str:
     """The text with every valid value replaced; ``found`` counts them by kind."""
     if not _HINT.search(text):
         return text
-
-    def put(m: re.Match) -> str:
-        kind = m.lastgroup
-        new = pseudonym(kind, m[0], key)
-        if new is None and kind == "card":  # two numbers that stand next to each other
-            parts = re.split(r"([ -])", m[0])
-            made = [pseudonym("card", p, key) if len(p) >= 13 else None for p in parts]
-            if any(made):
-                new = "".join(a or b for a, b in zip(made, parts))
-        if new is None:
-            return m[0]
-        if found is not None:
-            found[kind] += 1
-        return new
-
-    return _FIND.sub(put, text)
+    out, done, at, failed = [], 0, 0, 0  # copied up to, searched up to, end of a failed card
+    while m := _FIND.search(text, at):
+        start, limit = m.start(), len(text)
+        at = start + 1
+        for kind in _ORDER[_ORDER.index(m.lastgroup):]:
+            one = m if kind == m.lastgroup else _ONE[kind].match(text, start, limit)
+            hit = one and _value(kind, one, key, start < failed)
+            if hit:
+                out += [text[done:start], hit[1]]
+                done = at = hit[0]
+                if found is not None:
+                    found[kind] += 1
+                break
+            if one and kind == "card":  # a phone number must not take the front of a card
+                failed = max(failed, one.end())
+                limit = _next_card(text, start + 1, one.end(), key) or limit
+    out.append(text[done:])
+    return "".join(out)
 
 
 def pseudonymise(docs: DataFrame, key: bytes = DEMO_KEY, id_col: str = "doc_id",

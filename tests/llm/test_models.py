@@ -108,6 +108,46 @@ def test_pseudonyms_keep_format_and_validity():
     assert pii.redact("078-05-1120", b"other") != number
 
 
+IBANS = ["NO9386011117947", "BE68539007547034", "NL91ABNA0417164300", "AT611904300234573201",
+         "LV80BANK0000435195001", "DE89370400440532013000", "ES9121000418450200051332",
+         "FR1420041010050500013M02606", "PL61109010140000071219812874",
+         "MT84MALT011000012345MTLCAST001S"]
+
+
+@pytest.mark.parametrize("value", IBANS)
+def test_ibans_before_other_words(value):
+    grouped = " ".join(value[i:i + 4] for i in range(0, len(value), 4))
+    for written in (value, value.lower(), grouped):
+        new = pii.redact(written.replace(" ", ""), KEY)
+        assert new != written.replace(" ", "")
+        for after in ("", " and", " is mine", " with thanks", " 2024 or so", " 12", ".", ", then"):
+            for before in ("", "No12 ", "pay to "):
+                got = pii.redact(before + written + after, KEY)
+                assert got.startswith(before) and got.endswith(after)
+                middle = got[len(before):len(got) - len(after)]
+                assert middle.replace(" ", "") == new
+
+
+@pytest.mark.parametrize("before,after", [
+    ("", " 12/27"), ("", " 123"), ("", " 2027 x"), ("", "-12/27"), ("No12 ", ""), ("12 ", ""),
+    ("1234 ", " 99"), ("1234-", ""), ("no 7 ", " 12"), ("AB12 ", " and")])
+@pytest.mark.parametrize("written", ["4111 1111 1111 1111", "4111-1111-1111-1111",
+                                     "4111111111111111", "3782 822463 10005"])
+def test_cards_beside_other_numbers(before, after, written):
+    found = Counter()
+    got = pii.redact(before + written + after, KEY, found)
+    assert got == before + pii.redact(written, KEY) + after and found == {"card": 1}
+
+
+def test_failed_candidates_are_tried_as_later_kinds():
+    assert pii.redact("4111111111111111 4222222222222", KEY) == (
+        pii.redact("4111111111111111", KEY) + " " + pii.redact("4222222222222", KEY))
+    assert pii.redact("555-123-4567 1234", KEY) == pii.redact("555-123-4567", KEY) + " 1234"
+    for stays in ("DE89370400440532013001 and", "10 20 30 40 50 60 70 80 90 10 11", "AB12 CDEF 3456 or",
+                  "4111111111111112 12/27"):
+        assert pii.redact(stays, KEY) == stays
+
+
 def test_pii_tables(spark):
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
     before = {r.doc_id: r.text for r in docs.collect()}
