@@ -10,10 +10,13 @@ the covered ranges back to the documents.
 
 Hot minimisers: a first pass counts them. Runs of words that are minimisers
 too often rank behind all others, so a window chooses one only if it has
-nothing else. Those windows spread over as many sub-buckets as their count
-asks for, by document; each sub-bucket settles the windows it sees twice and
-reports each distinct window once, and the reports are added up natively. So
-a passage in a third of all documents fills no single task.
+nothing else. A passage that is everywhere has only such runs, so a second
+pass counts the minimisers of this new order. The windows of those that are
+hot still spread over as many sub-buckets as their count asks for, by row (id,
+text hash and the row's number among equal ones of its task); each sub-bucket
+settles the windows it sees twice and reports each distinct window once, and
+the reports are added up natively. So a passage in a third of all documents
+fills no single task, whether these are copies of one text or differ.
 
 Defined cases: a null text has no words; a document is a row: a repeated row
 is another occurrence of all its windows; an empty table gives an empty
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -101,32 +105,61 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
             yield Chunk(keys, texts)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk in _chunks(batches):
-        _, _, least = chunk.runs(np.empty(0, dtype=np.uint64))
-        values, counts = np.unique(least, return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*values.view(np.int64).tolist(), None], pa.int64()),
-             pa.array([*counts.tolist(), len(chunk.hashes)], pa.int64())], names=["key", "n"])
+def _count(hot: np.ndarray):
+    """mapInArrow function: minimisers if ``hot`` ones rank last, and (key null) words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches):
+            _, _, least = chunk.runs(hot)
+            values, counts = np.unique(least & ~_TOP, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*values.view(np.int64).tolist(), None], pa.int64()),
+                 pa.array([*counts.tolist(), len(chunk.hashes)], pa.int64())], names=["key", "n"])
+
+    return run
 
 
-def _spread(hot_keys: np.ndarray, hot_parts: np.ndarray, buckets: int):
-    """mapInArrow function: the super-k-mers of the documents, packed per bucket."""
+def _row_salts(chunk: Chunk, rows: np.ndarray, seen: Counter, task: int) -> np.ndarray:
+    """A number per document of the chunk, its own for each of ``rows`` even if all are copies."""
+    salts = np.zeros(len(chunk.keys), dtype=np.uint64)
+    mine = [chunk.keys[i] for i in rows.tolist()]
+    nth = np.empty(len(mine), dtype=np.uint64)
+    for i, key in enumerate(mine):
+        nth[i] = seen[key]
+        seen[key] += 1
+    docs = np.array([-1 if d is None else d for d, _ in mine], dtype=np.int64).view(np.uint64)
+    marks = np.array([m for _, m in mine], dtype=np.int64).view(np.uint64)
+    with np.errstate(over="ignore"):
+        salts[rows] = mix(mix(mix(docs) ^ marks) + mix(nth + (np.uint64(task) << np.uint64(40))))
+    return salts
+
+
+def _spread(hot: np.ndarray, wide_keys: np.ndarray, wide_parts: np.ndarray, buckets: int):
+    """mapInArrow function: the super-k-mers of the documents, packed per bucket.
+
+    ``hot`` minimisers rank last; those in ``wide_keys`` are dealt to parts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         pack = zstandard.ZstdCompressor(level=3)
+        task = TaskContext.get().partitionId()
+        seen: Counter = Counter()
         for chunk in _chunks(batches):
-            begin, end, least = chunk.runs(hot_keys)
+            begin, end, least = chunk.runs(hot)
             if not len(begin):
                 continue
             doc = chunk.doc[begin]
-            marks = np.array([m for _, m in chunk.keys], dtype=np.int64)
-            is_hot = least >= _TOP
             key = least & ~_TOP
+            is_hot = np.zeros(len(key), dtype=bool)
+            if len(wide_keys):
+                at = np.minimum(np.searchsorted(wide_keys, key), len(wide_keys) - 1)
+                is_hot = wide_keys[at] == key
             if is_hot.any():
-                parts = hot_parts[np.searchsorted(hot_keys, key[is_hot])]
+                salts = _row_salts(chunk, np.unique(doc[is_hot]), seen, task)
                 with np.errstate(over="ignore"):
-                    key[is_hot] += (marks[doc[is_hot]].view(np.uint64) % parts) * np.uint64(
+                    key[is_hot] += (salts[doc[is_hot]] % wide_parts[at[is_hot]]) * np.uint64(
                         0xC2B2AE3D27D4EB4F)
             bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -248,25 +281,40 @@ def _spark_schema(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} long" for f in schema)
 
 
-def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Word ranges [first, last) to remove: doc_id, mark (hash of the text), first, last."""
-    spark = docs.sparkSession
-    ship(spark)
-    text = F.col(text_col).cast("string")
-    whole = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                        F.xxhash64(text).alias("mark"), text.alias("text"))
+def _frequent(whole: DataFrame, hot: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of words, minimisers (ascending) that are hot if ``hot`` rank last, their parts."""
     counted = materialise(
-        whole.mapInArrow(_count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        whole.mapInArrow(_count(hot), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
         .where((F.col("n") >= HOT_AT) | F.col("key").isNull()), "minimisers")
     total = sum(r.n for r in counted.where("key IS NULL").collect())
-    hot = counted.where("key IS NOT NULL").orderBy(F.desc("n"), "key").limit(HOT_LIST).collect()
-    keys = np.array([r.key for r in hot], dtype=np.int64).view(np.uint64)
-    parts = np.array([-(-r.n // HOT_SHARE) for r in hot], dtype=np.uint64)
+    rows = counted.where("key IS NOT NULL").orderBy(F.desc("n"), "key").limit(HOT_LIST).collect()
+    keys = np.array([r.key for r in rows], dtype=np.int64).view(np.uint64)
+    parts = np.array([-(-r.n // HOT_SHARE) for r in rows], dtype=np.uint64)
     order = np.argsort(keys)
+    return total, keys[order], parts[order]
+
+
+def packed_windows(whole: DataFrame) -> DataFrame:
+    """bucket and body: the super-k-mers of (doc_id, mark, text)."""
+    total, hot, parts = _frequent(whole, np.empty(0, dtype=np.uint64))
+    wide = hot
+    if len(hot):
+        _, wide, parts = _frequent(whole, hot)
     words = total * (2 * WINDOW + GRAM) // (WINDOW - GRAM)  # words sent, about
     buckets = max(MIN_BUCKETS, words // BUCKET_WORDS)
-    packed = whole.mapInArrow(_spread(keys[order], parts[order], buckets),
-                              "bucket long, body binary")
+    return whole.mapInArrow(_spread(hot, wide, parts, buckets), "bucket long, body binary")
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                       F.xxhash64(text).alias("mark"), text.alias("text"))
+
+
+def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Word ranges [first, last) to remove: doc_id, mark (hash of the text), first, last."""
+    ship(docs.sparkSession)
+    packed = packed_windows(keyed(docs, id_col, text_col))
     settled = materialise(packed.groupBy("bucket").applyInArrow(_settle, _spark_schema(OUT)),
                           "windows")
     alone = settled.where("n IS NOT NULL")

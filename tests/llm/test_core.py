@@ -1,5 +1,6 @@
 """Operators 2 to 5, 9 and 10 against brute force and SQL, with edge cases."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,6 +13,7 @@ from opticart.llm.queries import ORACLE_SQL, QUERIES
 from tests.conftest import SMALL
 from tests.helpers import same_result
 from tests.llm import brute
+from tests.llm.conftest import sentence
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
@@ -45,6 +47,33 @@ def test_substring_dedup_tables(spark):
         d: w for (d, _), w in zip(rows, want)}
 
 
+@pytest.mark.parametrize("kind", ["copies", "repeated rows", "other texts"])
+def test_hot_passage_fills_no_bucket(frame, monkeypatch, kind):
+    """Neither copies of one text nor a passage in other texts go to one bucket."""
+    import pickle
+
+    import zstandard
+
+    monkeypatch.setattr(substring_dedup, "HOT_AT", 50)
+    monkeypatch.setattr(substring_dedup, "HOT_SHARE", 10)
+    rng = random.Random(3)
+    passage = sentence(rng, 40)
+    pairs = [(7 if kind == "repeated rows" else i,
+              passage + (" " + sentence(rng, 3) if kind == "other texts" else ""))
+             for i in range(800)]
+    substring_dedup.ship(frame(pairs).sparkSession)
+    packed = substring_dedup.packed_windows(substring_dedup.keyed(frame(pairs), "doc_id", "text"))
+    rows = Counter()
+    for r in packed.collect():
+        body = pickle.loads(zstandard.ZstdDecompressor().decompress(r.body))
+        rows[r.bucket] += len(body[0])
+    assert max(rows.values()) < rows.total() / 10
+    got = substring_dedup.remove_repeats(frame(pairs)).collect()
+    want = brute.without_repeats([t for _, t in pairs])
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == Counter(
+        (d, *w) for (d, _), w in zip(pairs, want))
+
+
 def check_packing(pieces, docs):
     """Every id of every document once, gapless sequences; returns padding and tokens."""
     from tokenizers import Tokenizer
