@@ -1,13 +1,13 @@
-"""Jaccard join of word 5-grams by a MinHash LSH forest and exact verification.
+"""Jaccard join of word 5-grams by MinHash banding and exact verification.
 
-Every document's signature is cut into ``TREES`` runs of hash values, one
-prefix trie each. Documents under one node of depth k agree on the first k
-values of that tree. A pair of similarity s meets at depth k in some tree with
-probability 1 - (1 - s^k)^TREES; a match at a greater depth is also one at a
-smaller depth, so prefixes are shortened from ``DEPTH`` down to the first
-depth at which that probability reaches ``RECALL`` at the threshold.
+Despite the module's name there is no LSH forest: no sorted signatures, no
+prefix tries, nothing shortened by document. Every document's signature is cut
+into ``TREES`` bands of k hash values, one key each, and documents meet if a
+key is equal. A pair of similarity s shares a band with probability
+1 - (1 - s^k)^TREES; k is the greatest number up to ``DEPTH`` for which that
+reaches ``RECALL`` at the threshold, and is fixed before any data is read.
 
-No pairs are made from a node: its members are tied to its least member, and
+No pairs are made from a key: its members are tied to its least member, and
 the connected components of these ties are what may be similar. Each
 component's texts then meet in one group (a component of more than ``GROUP``
 texts in blocks, each pair of blocks in a group of its own), where an
@@ -49,7 +49,7 @@ MAX_BROADCAST_ROWS = 1_000_000  # document keys of 16 bytes
 
 def depth_for(threshold: float, trees: int = TREES, recall: float = RECALL,
               depth: int = DEPTH) -> int:
-    """The longest prefix whose matches reach the recall at the threshold."""
+    """The longest band whose matches reach the recall at the threshold."""
     while depth > 1 and 1 - (1 - threshold ** depth) ** trees < recall:
         depth -= 1
     return depth
@@ -78,7 +78,7 @@ def _gram_lists(raws: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketch(gram: int, trees: int, depth: int):
-    """mapInArrow function: doc_id, mark, fingerprint of the gram set, keys of the tries' nodes."""
+    """mapInArrow function: doc_id, mark, fingerprint of the gram set, keys of the bands."""
     rng = np.random.default_rng(20240229)  # fixed: all tasks must agree
     factors = rng.integers(1, 1 << 32, trees * depth, dtype=np.uint32) | np.uint32(1)
     masks = rng.integers(0, 1 << 32, trees * depth, dtype=np.uint32)
