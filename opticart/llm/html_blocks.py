@@ -7,6 +7,8 @@ import re
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+import numpy as np
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
@@ -44,7 +46,7 @@ HARD_NAMES = frozenset(
 SOFT_NAMES = frozenset("header masthead banner form search topbar".split())
 CONTENT_NAMES = frozenset("content article post entry story main maincontent articlebody".split())
 MAX_DEPTH = 200       # elements nested deeper stay blocks, but are no nodes of their own
-MAX_GRID = 40_000     # cells of one alignment; longer child lists are paired in order
+MAX_GRID = 40_000     # cells of one alignment held at once; longer child lists are halved
 
 BODY, HINT, MAIN, ARTICLE = range(4)
 
@@ -263,6 +265,60 @@ def tree(skeleton: str) -> Tree:
     return Tree(tuple(signs), tuple(map(tuple, kids)))
 
 
+def _kinds(*trees: Tree) -> list[list[int]]:
+    """A number per node of each tree; equal subtrees have equal numbers."""
+    ids: dict[tuple, int] = {}
+    out = []
+    for t in trees:
+        mine = [0] * len(t.signs)
+        for i in range(len(mine) - 1, -1, -1):  # children stand behind their parent
+            mine[i] = ids.setdefault((t.signs[i], *(mine[k] for k in t.kids[i])), len(ids))
+        out.append(mine)
+    return out
+
+
+def _halved(x: list[int], y: list[int], weight) -> list[tuple[int, int]]:
+    """Places (p, q) of a heaviest alignment of two lists of subtree numbers, in
+    linear memory: the first list is halved, the second cut where both halves'
+    weights add up to the most. Equal ends are paired at once."""
+    first_x = {k: p for p, k in reversed(list(enumerate(x)))}
+    first_y = {k: q for q, k in reversed(list(enumerate(y)))}
+    table = np.array([[weight(p, q) for q in first_y.values()] for p in first_x.values()],
+                     dtype=np.int64)
+    row_of = {k: n for n, k in enumerate(first_x)}
+    col_of = {k: n for n, k in enumerate(first_y)}
+    rows, cols = [row_of[k] for k in x], np.array([col_of[k] for k in y])
+
+    def best(some: list[int], among: np.ndarray) -> np.ndarray:
+        """Weight of the list against each front part of the other."""
+        line = np.zeros(len(among) + 1, dtype=np.int64)
+        for r in some:
+            line[1:] = np.maximum.accumulate(np.maximum(line[1:], line[:-1] + table[r][among]))
+        return line
+
+    out, todo = [], [(0, len(x), 0, len(y))]
+    while todo:
+        a, b, c, d = todo.pop()
+        while a < b and c < d and x[a] == y[c]:
+            out.append((a, c))
+            a, c = a + 1, c + 1
+        while a < b and c < d and x[b - 1] == y[d - 1]:
+            b, d = b - 1, d - 1
+            out.append((b, d))
+        if a == b or c == d:
+            continue
+        if b - a == 1:
+            q = int(table[rows[a]][cols[c:d]].argmax())
+            if table[rows[a]][cols[c + q]]:
+                out.append((a, c + q))
+            continue
+        mid = (a + b) // 2
+        cut = c + int((best(rows[a:mid], cols[c:d])
+                       + best(rows[mid:b][::-1], cols[c:d][::-1])[::-1]).argmax())
+        todo += [(a, mid, c, cut), (mid, b, cut, d)]
+    return sorted(out)
+
+
 @lru_cache(maxsize=4096)
 def align(skeleton: str, reference: str) -> tuple[int, ...]:
     """Simple tree matching: the reference node of each skeleton node, or -1."""
@@ -271,6 +327,7 @@ def align(skeleton: str, reference: str) -> tuple[int, ...]:
     a, b = tree(skeleton), tree(reference)
     weights: dict[tuple[int, int], int] = {}
     choice: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    kinds: list[list[int]] = []
 
     def weight(i: int, j: int) -> int:
         if a.signs[i] != b.signs[j]:
@@ -280,14 +337,12 @@ def align(skeleton: str, reference: str) -> tuple[int, ...]:
         x, y = a.kids[i], b.kids[j]
         pairs: list[tuple[int, int]] = []
         if len(x) * len(y) > MAX_GRID:
-            best, k = 0, 0
-            for p in x:  # in order, by signature
-                for q in range(k, len(y)):
-                    if a.signs[p] == b.signs[y[q]]:
-                        best += weight(p, y[q])
-                        pairs.append((p, y[q]))
-                        k = q + 1
-                        break
+            if not kinds:
+                kinds.extend(_kinds(a, b))
+            pairs = _halved([kinds[0][u] for u in x], [kinds[1][v] for v in y],
+                            lambda p, q: weight(x[p], y[q]))
+            pairs = [(x[p], y[q]) for p, q in pairs]
+            best = sum(weight(u, v) for u, v in pairs)
         else:
             grid = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
             for p, u in enumerate(x, 1):

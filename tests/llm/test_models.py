@@ -1,12 +1,13 @@
 """Operators 1, 6, 7 and 8 and the pipeline."""
 
+import random
 import re
 from collections import Counter
 
 import pytest
 
 import corpus_pipeline
-from opticart.llm import (html_extract, jaccard_forest, language_mix, pii, quality_rank, sql)
+from opticart.llm import (html_blocks, html_extract, jaccard_forest, language_mix, pii, quality_rank, sql)
 from opticart.llm.html_blocks import align, collapse, read
 from tests.conftest import SMALL
 from tests.llm import brute
@@ -206,6 +207,38 @@ def test_tree_matching():
         "html", None, "div", "p", "ul", "li"]
 
 
+def test_long_child_lists_are_aligned_exactly():
+    """One early mismatch leaves no later siblings alone."""
+    run = ["1 h2 ", "1 p "] * 150
+    pairs = align("\n".join(["0 html", "1 z ", *run]), "\n".join(["0 html", *run, "1 z "]))
+    assert pairs == (0, -1, *range(1, 301))
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_halved_alignment_is_as_heavy(monkeypatch, seed):
+    rng = random.Random(seed)
+
+    def some():
+        lines, depth = ["0 html"], 0
+        for _ in range(rng.randint(1, 60)):
+            depth = rng.randint(1, min(depth + 1, 4))
+            lines.append(f"{depth} {rng.choice('abc')}")
+        return "\n".join(lines)
+
+    a, b = some(), some()
+    align.cache_clear()
+    want = align(a, b)
+    monkeypatch.setattr(html_blocks, "MAX_GRID", 0)
+    align.cache_clear()
+    got = align(a, b)
+    align.cache_clear()
+    assert sum(j >= 0 for j in got) == sum(j >= 0 for j in want)
+    matched = [j for j in got if j >= 0]
+    assert matched == sorted(set(matched))
+    for i, j in enumerate(got):
+        assert j < 0 or a.split("\n")[i].split()[1] == b.split("\n")[j].split()[1]
+
+
 def test_wrapper_removes_constant_nodes(spark):
     """Pages without an article: what all pages of the host share goes."""
     def page(i):
