@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opticart.llm import (decontaminate, html_extract, jaccard_forest, language_mix, line_dedup,
-                          packing, pii, quality_rank, quality_rules, sql, substring_dedup)
+from opticart.llm import (conversation_repair, decontaminate, html_extract, jaccard_forest,
+                          language_mix, line_dedup, merkle_manifest, packing, piecewise_hash, pii,
+                          quality_rank, quality_rules, sql, substring_dedup)
 from opticart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +66,22 @@ def op10_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "class_id", "copies", "n_links"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every damaged conversation."""
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(rows, present="present")
+
+
+def op12_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likenesses."""
+    return piecewise_hash.compared_with_next(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and verification of every document, some of them tampered with."""
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"), merkle_manifest.by_crc())
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_mix": op1_language_mix,
     "op2_line_dedup": op2_line_dedup,
@@ -76,6 +93,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rank": op8_quality_rank,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_forest": op10_jaccard_forest,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_piecewise_hash": op12_piecewise_hash,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {

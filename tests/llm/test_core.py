@@ -23,7 +23,7 @@ def test_matches_oracle(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, name, tmp_path):
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         spark.read.parquet(f"{SMALL}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert QUERIES[name](spark, str(tmp_path)).collect() == []
 
