@@ -12,8 +12,9 @@ Nothing is looked up and nothing shuffled; every task works alone.
 
 Defined cases: null text stays null; texts without such values are returned
 as they are; repeated rows are treated alike; an empty table gives an empty
-result; other columns are ignored. Numbers that fail their check are no
-personal data and stay; a candidate that fails is first tried shorter, then as
+result; other columns are ignored. Letters and digits are ASCII ones: what other
+scripts write as digits, or letters that only fold to ASCII, are part of no
+value. Numbers that fail their check are no personal data and stay; a candidate that fails is first tried shorter, then as
 the later kinds, and the search goes on at its next character.
 """
 
@@ -135,7 +136,7 @@ def card(text: str, key: bytes) -> str | None:
 
 def phone(text: str, key: bytes) -> str | None:
     """All digits but a leading country code."""
-    code = re.match(r"\+\d{1,3}(?=[ (.-])", text)
+    code = re.match(r"\+[0-9]{1,3}(?=[ (.-])", text)
     head = code[0] if code else ""
     rest = text[len(head):]
     digits = _only_digits(rest)
@@ -213,7 +214,7 @@ def _day(year: int, month: int, day: int) -> int | None:
 
 def date(text: str, key: bytes) -> str | None:
     """A date in digits or with an English month; its order and separators stay."""
-    order, fields = None, re.findall(r"\d+|[A-Za-z]+", text)
+    order, fields = None, re.findall(r"[0-9]+|[A-Za-z]+", text)
     if len(fields) != 3:
         return None
     named = [f for f in fields if f.isalpha()]
@@ -249,34 +250,34 @@ def date(text: str, key: bytes) -> str | None:
         else:
             value = numbers_left.pop(0)
             parts.append(field(f, value, 4 if value > 31 else 2))
-    return "".join(x + y for x, y in zip(parts, re.split(r"\d+|[A-Za-z]+", text)[1:]))
+    return "".join(x + y for x, y in zip(parts, re.split(r"[0-9]+|[A-Za-z]+", text)[1:]))
 
 
-_MONTH = "(?:" + "|".join(m if len(m) < 4 else f"{m[:3]}(?:{m[3:]})?" for m in MONTHS) + ")"
+_MONTH = "(?ai:" + "|".join(m if len(m) < 4 else f"{m[:3]}(?:{m[3:]})?" for m in MONTHS) + ")"
 _KINDS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
-    "secret": r"\b(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|auth[_-]?key)"
+    "secret": r"\b(?ai:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|auth[_-]?key)"
               r"\s{0,3}[=:]\s{0,3}(?:\"[A-Za-z0-9_\-+/=.]{16,}\"|'[A-Za-z0-9_\-+/=.]{16,}'"
               r"|[A-Za-z0-9_\-+/=.]{16,})",
-    "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "date": r"(?<![\w.-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}"
-            r"|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4}"
-            rf"|\d{{1,2}} {_MONTH} \d{{4}}|{_MONTH} \d{{1,2}}, \d{{4}})(?![\w-]|\.\d)",
-    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
-    "card": r"(?:(?<![\w.-])|(?<=\d-))\d(?:[ -]?\d){12,18}(?!\w|-(?!\d)|\.\d)",
-    "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}"
-             r"(?![\w-]|\.\d)|(?<![\w.])\+\d{8,14}(?!\w)",
+    "iban": r"\b[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,3})?\b",
+    "date": r"(?<![\w.-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
+            r"|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}"
+            rf"|[0-9]{{1,2}} {_MONTH} [0-9]{{4}}|{_MONTH} [0-9]{{1,2}}, [0-9]{{4}})(?![\w-]|\.[0-9])",
+    "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
+    "ip": r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])",
+    "card": r"(?:(?<![\w.-])|(?<=[0-9]-))[0-9](?:[ -]?[0-9]){12,18}(?!\w|-(?![0-9])|\.[0-9])",
+    "phone": r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}"
+             r"(?![\w-]|\.[0-9])|(?<![\w.])\+[0-9]{8,14}(?!\w)",
 }
-_FIND = re.compile("|".join(f"(?P<{kind}>{body})" for kind, body in _KINDS.items()), re.I)
-_ONE = {kind: re.compile(body, re.I) for kind, body in _KINDS.items()}
+_FIND = re.compile("|".join(f"(?P<{kind}>{body})" for kind, body in _KINDS.items()))
+_ONE = {kind: re.compile(body) for kind, body in _KINDS.items()}
 _ORDER = list(_KINDS)
 # A part of a failed candidate that is written like a card number: whole or in
 # groups of four and more, with a first digit that card issuers have.
-_GROUPED = re.compile(r"(?=[3-6]|2[2-7])\d{4,}(?:[ -]\d{4,})*(?:[ -]\d{1,3})?")
+_GROUPED = re.compile(r"(?=[3-6]|2[2-7])[0-9]{4,}(?:[ -][0-9]{4,})*(?:[ -][0-9]{1,3})?")
 _MAKE = {"email": email, "secret": secret, "iban": iban, "ip": ip, "card": card, "phone": phone,
          "ssn": ssn, "date": date}
-_HINT = re.compile(r"[0-9@]|token|secret|passw|pwd|key", re.I)
+_HINT = re.compile(r"[0-9@]|token|secret|passw|pwd|key", re.I | re.A)
 
 
 @lru_cache(maxsize=1 << 16)
