@@ -15,22 +15,25 @@ _TAG = re.compile(
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)"
     r"|</[^>]*(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME = re.compile(r"[a-z]+")
 
 # Elements by how they are read (fixed by the HTML standard).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math object canvas "
-                "audio video select xmp noembed noframes".split())
+RAW = frozenset("script style title textarea noscript template iframe svg canvas audio video "
+                "select xmp noembed noframes annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark "
-                   "nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+                   "nobr q rp rt ruby s samp small span strike strong sub sup time tt u var "
+                   "math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror "
+                   "mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts "
+                   "mtable mtr mtd".split())
 CLOSES = {  # an opening tag ends an open element of these names, up to the stop names
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
     "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 SCOPE = frozenset("html body table td th caption button object article section div main".split())
 
-# What is not main text: by element, by ARIA role, by words of class and id.
+# What is not main text: by element, by ARIA role, by names in class and id.
 HARD_TAGS = frozenset("nav aside footer menu dialog head".split())
 SOFT_TAGS = frozenset("header form fieldset button".split())
 HARD_ROLES = frozenset("navigation contentinfo complementary search alert dialog "
@@ -45,6 +48,12 @@ HARD_NAMES = frozenset(
     "pager skip".split())
 SOFT_NAMES = frozenset("header masthead banner form search topbar".split())
 CONTENT_NAMES = frozenset("content article post entry story main maincontent articlebody".split())
+# A name such as site-header-wrapper is called after the last of its words that says
+# more than a place or a box; what a thing has or lacks is not its name.
+PLACES = frozenset("left right top bottom primary secondary inner outer wrapper wrap container "
+                   "area box section block bar list item items group row column".split())
+STATES = frozenset("has with without no not is".split())
+WHOLE_ONLY = frozenset("widget widgets".split())     # page builders wrap all text in widgets
 MAX_DEPTH = 200       # elements nested deeper stay blocks, but are no nodes of their own
 MAX_GRID = 40_000     # cells of one alignment held at once; longer child lists are halved
 
@@ -59,6 +68,23 @@ class Page:
     parents: list[int] = field(default_factory=list)
 
 
+def _called(value: str) -> tuple[set[str], set[str]]:
+    """(whole names, what the names of a class or id attribute are called after)."""
+    whole, heads = set(), set()
+    for name in value.split():
+        words = _NAME.findall(name)
+        if not words or words[0] in STATES:
+            continue
+        whole.add("".join(words))
+        if len(words) == 1:
+            continue
+        while len(words) > 1 and words[-1] in PLACES:
+            words.pop()
+        if words[-1] not in WHOLE_ONLY:
+            heads.add(words[-1])
+    return whole, heads
+
+
 def _kind(tag: str, attrs: str) -> tuple[str, int, int]:
     """(signature, boilerplate 0/1 soft/2 hard, content level) of an element."""
     sign, junk, level = tag, 0, BODY
@@ -71,15 +97,16 @@ def _kind(tag: str, attrs: str) -> tuple[str, int, int]:
     elif tag == "main":
         level = MAIN
     if attrs and not attrs.isspace():
-        names: set[str] = set()
+        whole: set[str] = set()
+        heads: set[str] = set()
         for name, a, b, c in _ATTR.findall(attrs):
             name, value = name.lower(), (a or b or c).lower()
             if name in ("class", "id"):
-                found = _NAME.findall(value)
-                names.update(found)
-                names.add("".join(found))
+                more, called = _called(value)
+                whole |= more
+                heads |= called
                 if name == "class":
-                    sign += "." + "-".join(found)
+                    sign += "." + "-".join(_NAME.findall(value))
             elif name == "role":
                 if value in HARD_ROLES:
                     junk = 2
@@ -87,18 +114,19 @@ def _kind(tag: str, attrs: str) -> tuple[str, int, int]:
                     junk = max(junk, 1)
                 elif value in ("main", "article"):
                     level = max(level, MAIN)
-            elif (name == "style" and "display:none" in value.replace(" ", "")) or (
+            elif name == "hidden" or (
+                    name == "style" and "display:none" in value.replace(" ", "")) or (
                     name == "aria-hidden" and value == "true"):
                 junk = 2
         if tag not in ("html", "body"):
+            # a marked article is boilerplate by a whole name only, such as "comment"
+            names = whole if level >= MAIN else whole | heads
             if names & HARD_NAMES:
                 junk = 2
             elif names & SOFT_NAMES:
                 junk = max(junk, 1)
             if not junk and names & CONTENT_NAMES:
                 level = max(level, HINT)
-        if re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attrs, re.I):
-            junk = 2
     return sign, junk, level
 
 
@@ -149,7 +177,7 @@ def read(source: str) -> Page:
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(source, at)
             at = close.start() if close else end
-            if not attrs.endswith("/") or tag not in ("svg", "math"):
+            if not attrs.endswith("/") or tag != "svg":
                 continue
             at = m.end()
             continue

@@ -169,6 +169,19 @@ def test_pii_tables(spark):
     assert n > 50
 
 
+@pytest.mark.parametrize("odd", ["ab12sıcaksıcaksıcak x", "İ.smıth@ſite.example.org", "K12 ſeptember 2020",
+                                 "٤111 1111 1111 1111", "GB82 WEST 1234 5698 765४ ſ", "１２/０３/２０２０"])
+def test_pii_letters_that_fold_to_ascii(frame, odd):
+    """They belong to no value, crash nothing and stay, next to values that go."""
+    card = "4111 1111 1111 1111"
+    gone = pii.redact(card, KEY)
+    rows = [(1, f"{odd}, {card}."), (1, f"{odd}, {card}."), (2, None), (3, odd + " " * 9),
+            (4, f"{odd}, {card}. " * 2000)]
+    got = {r.doc_id: r.text for r in pii.pseudonymise(frame(rows), KEY).collect()}
+    assert got[2] is None and got[1].endswith(f", {gone}.") and got[4] == (got[1] + " ") * 2000
+    assert [c for c in got[3] if not c.isascii()] == [c for c in odd if not c.isascii()]
+
+
 def test_pii_edges(frame, edge_pairs):
     rows = pii.pseudonymise(frame(edge_pairs)).collect()
     assert Counter((r.doc_id, r.text) for r in rows) == Counter(edge_pairs)
@@ -197,6 +210,19 @@ def test_odd_pages(source, text):
     assert html_extract.content(source, None, set()) == text
 
 
+@pytest.mark.parametrize("shell", [
+    '<div class="site has-sidebar"><article>{}</article></div>',
+    '<article class="post comments-open">{}</article>', '<main class="content with-sidebar">{}</main>',
+    '<div class="elementor-widget elementor-widget-text-editor">{}</div>',
+    '<div id="no-header">{}</div>', '<article>{}</article><div class="cookie-notice">c</div>',
+    '<div class="left-sidebar-wrapper">s</div><div id="sidebar-left">s</div>{}',
+    '<article>{}<section class="post-comments">c</section></article>'])
+def test_names_that_are_not_the_elements_own(shell):
+    page = shell.format('<p title="a hidden treasure">Text <math><mi>x</mi><mo>=</mo><mn>2</mn></math>'
+                        '</p><object><p>in it</p></object><p hidden>gone</p>')
+    assert html_extract.content(page, None, set()) == ["Text x=2", "in it"]
+
+
 def test_tree_matching():
     a, _ = collapse(read("<div><p>x</p><p>y</p><ul><li>1<li>2</ul></div><table><tr><td>z</table>"))
     b, place = collapse(read("<h2>t</h2><div><p>x</p><ul><li>1</ul></div>"))
