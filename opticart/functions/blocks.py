@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opticart.functions.skew import salted_join
+from opticart.functions.skew import fits_broadcast, split_join
 
 VKEY = ["product_id", "version"]
 
@@ -49,6 +49,31 @@ def version_prices(versions: DataFrame, products: DataFrame, extras: DataFrame,
                     .alias("total_price")))
 
 
+def with_version_prices(lines: DataFrame, products: DataFrame, extras: DataFrame,
+                        by: Column, measure: DataFrame | None = None) -> DataFrame:
+    """Customised lines with ``price`` of the product and ``sum_extra`` of the version.
+
+    Lines of unknown products drop out; the extras of versions without options
+    are NULL. Where products and extras are too large to broadcast, the
+    (product, version) pairs that the lines hold are priced first, so that the
+    lines move once, in a join that splits hot versions (``measure``: see there).
+    """
+    prices = products.select("product_id", "price")
+    extras = extras.select(*VKEY, "sum_extra")
+    if fits_broadcast(prices) and fits_broadcast(extras):
+        return lines.join(prices, "product_id").join(extras, VKEY, "left")
+
+    def keyed(df: DataFrame) -> DataFrame:      # a NULL version is a key of its own here
+        return df.withColumns({"_listed": F.col("version").isNotNull(),
+                               "_version": F.coalesce("version", F.lit(0))})
+
+    key = ["product_id", "_listed", "_version"]
+    book = (keyed(lines.select(*VKEY).distinct()).join(prices, "product_id")
+            .join(extras, VKEY, "left").select(*key, "price", "sum_extra"))
+    measured = None if measure is None else keyed(measure.select(*VKEY))
+    return split_join(keyed(lines), book, key, by, measure=measured).drop("_listed", "_version")
+
+
 def price_glasses_lines(glasses: DataFrame, products: DataFrame, extras: DataFrame) -> DataFrame:
     """Customised lines with ``unit_price`` = price + coalesce(sum_extra, 0).
 
@@ -56,9 +81,7 @@ def price_glasses_lines(glasses: DataFrame, products: DataFrame, extras: DataFra
     order-total maintenance): lines of unknown products drop out, lines of
     versions without options pay the base price.
     """
-    priced = salted_join(glasses, products.select("product_id", "price"), ["product_id"],
-                         F.col("order_id"))
-    return (salted_join(priced, extras.select(*VKEY, "sum_extra"), VKEY, F.col("order_id"), "left")
+    return (with_version_prices(glasses, products, extras, F.col("order_id"))
             .withColumn("unit_price",
                         F.col("price") + F.coalesce(F.col("sum_extra"), F.lit(0)))
             .drop("price", "sum_extra"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opticart.functions.numeric import idiv
-from opticart.functions.skew import salted_join
+from opticart.functions.skew import split_join
 from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
 
@@ -36,13 +36,13 @@ def below_average_reviewers(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
     AVG over an INT column truncates in the reference, so the mean is
     sum div count. The per-product means are a partial aggregate joined
-    back to the reviews, with a hot product's reviews salted; qualifying
+    back to the reviews, with a hot product's reviews split over tasks; qualifying
     customers are reduced to distinct ids before the customer join.
     """
     r = t.reviews.select("customer_id", "product_id", "rating")
     mean = r.groupBy("product_id").agg(
         idiv(F.sum("rating"), F.count("rating")).alias("mean_rating"))
-    low = (salted_join(r, mean, ["product_id"], F.col("customer_id"))
+    low = (split_join(r, mean, ["product_id"], F.col("customer_id"))
            .where(F.col("rating") < F.col("mean_rating"))
            .select("customer_id").distinct())
     c = t.customers

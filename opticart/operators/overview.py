@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opticart.functions.blocks import all_lines
 from opticart.functions.numeric import ratio_double, round_ratio
-from opticart.functions.skew import salted_join
+from opticart.functions.skew import split_join
 from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
 
@@ -121,7 +121,7 @@ def rating_gap(t: Tables, p: Params = DEFAULT) -> DataFrame:
     rating = (product_rating(t).join(t.products.select("product_id"), "product_id", "left_semi")
               .withColumnRenamed("rating", "product_rating"))
     gap = F.col("rating") - F.col("product_rating")
-    return (salted_join(reviews, rating, ["product_id"], F.col("review_id"))
+    return (split_join(reviews, rating, ["product_id"], F.col("review_id"))
             .where(gap < F.lit(p.rating_gap))
             .select("review_id", "customer_id", "product_id", "rating", "review_date",
                     gap.alias("gap")))

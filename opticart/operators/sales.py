@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opticart.functions.blocks import VKEY, version_extras
-from opticart.functions.skew import salted_join
+from opticart.functions.skew import split_join
 from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
 
@@ -28,10 +28,10 @@ def custom_buyer_spend(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """
     start = dt.date(p.as_of.year - p.spend_lookback_years, 1, 1)   # DATEDIFF(YEAR) <= k
     ext = version_extras(t.selected, t.customizations, versions=t.versions)
-    # The options and the price of a version form one small table; the lines
-    # of a hot version are dealt to several tasks.
+    # The options and the price of a version form one table; the lines of a
+    # hot version are dealt to several tasks.
     priced = ext.join(t.products.select("product_id", "price"), "product_id")
-    line = salted_join(t.glasses_ordered, priced, VKEY, F.col("order_id"))
+    line = split_join(t.glasses_ordered, priced, VKEY, F.col("order_id"))
     spend = F.col("n_feat") * F.col("price") * F.col("units")
     per_order = line.groupBy("order_id").agg(
         F.sum(spend).alias("spend"),

@@ -14,7 +14,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opticart.functions.blocks import VKEY, version_extras
+from opticart.functions.blocks import VKEY, version_extras, with_version_prices
 from opticart.operators.common import stored_line_amounts
 from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
@@ -94,14 +94,14 @@ def custom_line_deltas(t: Tables, changes: DataFrame) -> DataFrame:
 
     Per change set and (order, product, version) group of c rows the
     reference sums the extras over rows x options, so every row of the
-    group pays c times its version's extras. Rows are grouped first, which
-    also keeps a hot order or product to one row per map task.
+    group pays c times its version's extras. Rows are grouped first, but a
+    hot product in many orders stays hot, so its groups are split over tasks
+    where they meet the prices.
     """
     ext = version_extras(t.selected, t.customizations, versions=t.versions)
     groups = changes.groupBy("op", "order_id", *VKEY).agg(
         F.count(F.lit(1)).alias("_rows"), F.sum("units").alias("_units"))
-    priced = (groups.join(t.products.select("product_id", "price"), "product_id")
-              .join(ext.select(*VKEY, "sum_extra"), VKEY, "left"))
+    priced = with_version_prices(groups, t.products, ext, F.col("order_id"), measure=changes)
     extra = F.col("_rows") * F.coalesce(F.col("sum_extra"), F.lit(0))
     amount = F.col("_units") * (F.col("price") + extra)
     return priced.groupBy("order_id").agg(*_signed_sums(amount))

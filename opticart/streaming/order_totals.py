@@ -27,8 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opticart.functions.blocks import VKEY, version_extras
-from opticart.functions.skew import salted_join
+from opticart.functions.blocks import VKEY, version_extras, with_version_prices
 from opticart.session import drop_path, file_system, shared_path
 from opticart.sources.conform import Tables
 
@@ -70,9 +69,7 @@ def change_feed(t: Tables) -> list[DataFrame]:
 
 def signed_amounts(feed: DataFrame, products: DataFrame, extras: DataFrame) -> DataFrame:
     """(order_id, amount): price each change row and sign it by op."""
-    by = F.col("order_id")
-    priced = salted_join(feed, products.select("product_id", "price"), ["product_id"], by)
-    priced = salted_join(priced, extras.select(*VKEY, "sum_extra"), VKEY, by, "left")
+    priced = with_version_prices(feed, products, extras, F.col("order_id"))
     extra = F.when(F.col("kind") == "glasses", F.coalesce(F.col("sum_extra"), F.lit(0))).otherwise(
         F.lit(0))
     sign = F.when(F.col("op") == "I", F.lit(1)).when(F.col("op") == "D", F.lit(-1))
