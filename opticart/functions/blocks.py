@@ -54,14 +54,16 @@ def with_version_prices(lines: DataFrame, products: DataFrame, extras: DataFrame
     """Customised lines with ``price`` of the product and ``sum_extra`` of the version.
 
     Lines of unknown products drop out; the extras of versions without options
-    are NULL. Where products and extras are too large to broadcast, the
-    (product, version) pairs that the lines hold are priced first, so that the
-    lines move once, in a join that splits hot versions (``measure``: see there).
+    are NULL. Products small enough are broadcast, and only the join with the
+    extras moves the lines, splitting hot versions (``measure``: see there).
+    Otherwise the (product, version) pairs that the lines hold are priced first,
+    so that the lines still move once.
     """
     prices = products.select("product_id", "price")
     extras = extras.select(*VKEY, "sum_extra")
-    if fits_broadcast(prices) and fits_broadcast(extras):
-        return lines.join(prices, "product_id").join(extras, VKEY, "left")
+    if fits_broadcast(prices):
+        return split_join(lines.join(prices, "product_id"), extras, VKEY, by, "left",
+                          measure=lines if measure is None else measure)
 
     def keyed(df: DataFrame) -> DataFrame:      # a NULL version is a key of its own here
         return df.withColumns({"_listed": F.col("version").isNotNull(),
