@@ -108,6 +108,14 @@ def top_rated_products(t: Tables, p: Params = DEFAULT) -> DataFrame:
             .limit(p.top_n))
 
 
+def review_gaps(t: Tables) -> DataFrame:
+    """(review_id, gap): rating minus the product's rounded mean, of every review of a product."""
+    means = product_rating(t).withColumnRenamed("rating", "mean")
+    listed = t.reviews.join(t.products.select("product_id"), "product_id", "left_semi")
+    return listed.join(means, "product_id").select(
+        "review_id", (F.col("rating") - F.col("mean")).alias("gap"))
+
+
 def rating_gap(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Reviews of the current year far below their product's rounded mean.
 

@@ -4,7 +4,8 @@ delete lines of latest orders (D17), yearly revenue and target (D20).
 The reference keeps ORDERS.Total_Amount current with triggers. Without a
 table format that supports UPDATE, each step here returns a new snapshot
 of the totals as a DataFrame; ``sources.sinks`` writes it to a new
-versioned folder.
+versioned folder. Where few orders change, ``keep_totals`` applies the same
+rules to a table in buckets and rewrites only the buckets of those orders.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from opticart.functions.blocks import VKEY, version_extras, with_version_prices
 from opticart.operators.common import stored_line_amounts
 from opticart.params import DEFAULT, Params
+from opticart.session import shared_path
+from opticart.sources.bucket_table import BucketTable
 from opticart.sources.conform import Tables
 
 # DECIMAL(10,2) in the reference; widened so a large order cannot overflow.
@@ -138,6 +141,30 @@ def custom_deltas_applied(t: Tables, p: Params = DEFAULT) -> DataFrame:
                                     custom_line_deltas(t, t.line_changes(True)))
 
 
+def keep_totals(stored: BucketTable, change_set: int, plain: DataFrame | None = None,
+                custom: DataFrame | None = None) -> list[int]:
+    """UPDATE ... FROM on a stored table of totals: the per-order deltas of one change set
+    of plain lines (D14) or of customised lines (D15). Returns the buckets rewritten."""
+    if (plain is None) == (custom is None):
+        raise ValueError("a change set is of plain or of customised lines")
+    if plain is not None:
+        return stored.update(plain, change_set, apply_line_deltas)
+    return stored.update(custom, change_set, apply_custom_line_deltas)
+
+
+TOTAL_BUCKETS = 16      # of the replay; a deployment takes a few hundred MB per bucket
+
+
+def totals_kept_in_place(t: Tables, p: Params = DEFAULT) -> DataFrame:
+    """D14 and D15 over the data, on a stored table: totals of the fulfilled lines, changed
+    by the plain-line change set and then by that of the customised lines."""
+    stored = BucketTable.create(stored_totals_before(t), shared_path(t.spark, "totals"),
+                                "order_id", TOTAL_BUCKETS)
+    keep_totals(stored, 1, plain=plain_line_deltas(t, t.line_changes(False)))
+    keep_totals(stored, 2, custom=custom_line_deltas(t, t.line_changes(True)))
+    return stored.read()
+
+
 # ------------------------------------------------------------------ D17
 def resolve_emails(t: Tables) -> DataFrame:
     """(email, customer_id) for e-mails that name exactly one customer.

@@ -33,6 +33,7 @@ PRODUCTS = {
     "order_totals": totals.order_totals_all,
     "apply_line_deltas": totals.plain_deltas_applied,
     "apply_custom_line_deltas": totals.custom_deltas_applied,
+    "totals_kept_in_place": totals.totals_kept_in_place,
     "delete_latest_order_lines": totals.remaining_after_returns,
     "low_seller_discounts": discounts.low_seller_discounts,
     "product_annual_stats": annual.product_annual_stats,

@@ -26,7 +26,7 @@ from opticart.params import DEFAULT, Params
 # Products that run a job while being built (ranking checkpoints, stream
 # replays) are not registered as views; call them from Python.
 EAGER = ("search_to_order_quartile", "customer_intake", "stream_order_totals",
-         "customer_intake_stream")
+         "customer_intake_stream", "totals_kept_in_place")
 
 TABLES = ("customers", "credit_cards", "products", "base_frames", "ordered",
           "glasses_ordered", "versions", "selected", "customizations", "searches",
@@ -46,6 +46,7 @@ def register(spark: SparkSession, t, p: Params = DEFAULT) -> list[str]:
         "order_totals": totals.order_totals(t),
         "revenue_by_year": totals.revenue_by_year(t, p),
         "customer_history_all": history.customer_history(t),
+        "review_gaps": overview.review_gaps(t),
     }
     for key, fn in registry.PRODUCTS.items():
         if key not in EAGER and key not in views:
@@ -62,7 +63,5 @@ def register(spark: SparkSession, t, p: Params = DEFAULT) -> list[str]:
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION get_rating_gap(rid BIGINT)
         RETURNS DOUBLE
-        RETURN (SELECT R.rating - PO.rating
-                FROM products_overview PO JOIN reviews R ON PO.product_id = R.product_id
-                WHERE R.review_id = rid)""")
+        RETURN (SELECT gap FROM review_gaps WHERE review_id = rid)""")
     return names + ["customer_history()", "get_rating_gap()"]

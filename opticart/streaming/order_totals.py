@@ -12,9 +12,14 @@ Every ``COMPACT_EVERY`` batches the older deltas are folded into a new base
 (``base/upto=<n>``) and their folders deleted, so the sink does not grow with
 the number of batches; readers add the later deltas to the latest base.
 
-Each change row pays its version's extras once. The customised-line trigger
-(D15, ``totals.custom_line_deltas``) multiplies them by the number of equal
-rows in one change set, so the two differ on change sets with repeated rows.
+A feed row may name its change set (``change_set``) and how many rows that has
+(``set_rows``). The customised-line trigger (D15, ``totals.custom_line_deltas``)
+lets each of the c equal rows of a change set pay its extras c times, and the
+rows of a set may arrive in several files and micro-batches. So the rows and units
+of each (change set, op, order, product, version) are carried in ``sets`` until the
+set is whole, and a batch writes what its rows add to the group's amount. Once a
+set is whole its totals are those of the trigger; a set of unknown size counts as
+whole with each batch. Rows without a change set are sets of one row.
 
 A retried batch overwrites its own folder and only batches before the
 current one are folded, so the sink is idempotent and the query's checkpoint
@@ -39,6 +44,13 @@ FEED_SCHEMA = T.StructType([
     T.StructField("version", T.IntegerType()),
     T.StructField("units", T.IntegerType()),
 ])
+# Feeds may have the identity of the change set as well.
+SET_SCHEMA = T.StructType([*FEED_SCHEMA.fields, T.StructField("change_set", T.LongType()),
+                           T.StructField("set_rows", T.LongType())])
+SET_KEY = ["change_set", "op", "kind", "order_id", *VKEY]
+SETS = ("change_set bigint, op string, kind string, order_id bigint, product_id bigint, "
+        "version int, set_rows bigint, rows bigint, units bigint, new_rows bigint, "
+        "new_units bigint, open boolean")
 DELTAS = "order_id bigint, delta decimal(38,2)"
 BASE = "order_id bigint, total_amount decimal(38,2)"
 
@@ -56,41 +68,96 @@ def feed_rows(lines: DataFrame, op: str, kind: str) -> DataFrame:
                         version.cast("int").alias("version"), F.col("units").cast("int"))
 
 
+def in_set(rows: DataFrame, change_set: int) -> DataFrame:
+    """Feed rows as one change set, which names its size."""
+    return rows.select("*", F.lit(change_set).cast("long").alias("change_set"),
+                       rows.agg(F.count(F.lit(1))).scalar().alias("set_rows"))
+
+
 def change_feed(t: Tables) -> list[DataFrame]:
     """The data's change feed in arrival order: stored (fulfilled) lines are
-    inserted, then open lines are inserted and returned lines deleted."""
+    inserted one by one, then open lines are inserted and returned lines deleted in
+    one change set of plain and one of customised lines."""
     return [
         feed_rows(t.line_base(False), "I", "plain").unionByName(
             feed_rows(t.line_base(True), "I", "glasses")),
-        feed_rows(t.line_changes(False), "", "plain").unionByName(
-            feed_rows(t.line_changes(True), "", "glasses")),
+        in_set(feed_rows(t.line_changes(False), "", "plain"), 1).unionByName(
+            in_set(feed_rows(t.line_changes(True), "", "glasses"), 2)),
     ]
 
 
-def signed_amounts(feed: DataFrame, products: DataFrame, extras: DataFrame) -> DataFrame:
-    """(order_id, amount): price each change row and sign it by op."""
-    priced = with_version_prices(feed, products, extras, F.col("order_id"))
-    extra = F.when(F.col("kind") == "glasses", F.coalesce(F.col("sum_extra"), F.lit(0))).otherwise(
-        F.lit(0))
+def signed_amounts(priced_by: DataFrame, products: DataFrame, extras: DataFrame) -> DataFrame:
+    """(order_id, amount) of rows (op, order_id, product_id, version, units, extra_units):
+    units pay the product's price, extra_units the version's extras, signed by op."""
+    priced = with_version_prices(priced_by, products, extras, F.col("order_id"))
     sign = F.when(F.col("op") == "I", F.lit(1)).when(F.col("op") == "D", F.lit(-1))
-    return priced.select("order_id",
-                         (sign * F.col("units") * (F.col("price") + extra)).alias("amount"))
+    amount = (F.col("units") * F.col("price")
+              + F.col("extra_units") * F.coalesce(F.col("sum_extra"), F.lit(0)))
+    return priced.select("order_id", (sign * amount).alias("amount"))
+
+
+def merged_sets(batch: DataFrame, before: DataFrame) -> DataFrame:
+    """The groups of equal rows of the change sets in ``batch``, and of those ``before``
+    that are not whole yet: rows and units with and without this batch, and whether rows
+    of the set are still to come."""
+    zero = F.lit(0).cast("long")
+    new = (batch.where(F.col("change_set").isNotNull()).groupBy(*SET_KEY)
+           .agg(F.max("set_rows").alias("set_rows"), F.count(F.lit(1)).alias("new_rows"),
+                F.coalesce(F.sum("units"), zero).alias("new_units")))
+    both = (new.select(*SET_KEY, "set_rows", zero.alias("rows"), zero.alias("units"), "new_rows",
+                       "new_units")
+            .unionByName(before.where("open").select(
+                *SET_KEY, "set_rows", "rows", "units", zero.alias("new_rows"),
+                zero.alias("new_units"))))
+    groups = both.groupBy(*SET_KEY).agg(
+        F.max("set_rows").alias("set_rows"), F.sum("new_rows").alias("new_rows"),
+        F.sum("new_units").alias("new_units"),
+        (F.sum("rows") + F.sum("new_rows")).alias("rows"),
+        (F.sum("units") + F.sum("new_units")).alias("units"))
+    arrived = groups.groupBy("change_set").agg(
+        F.coalesce(F.sum("rows") < F.max("set_rows"), F.lit(False)).alias("open"))
+    return groups.join(arrived, "change_set")
+
+
+def added_by_batch(batch: DataFrame, sets: DataFrame) -> DataFrame:
+    """What the batch's rows add: units at the product's price, and extra_units at the
+    version's extras (a group of c rows pays them c times, each)."""
+    before = (F.col("units") - F.col("new_units")) * (F.col("rows") - F.col("new_rows"))
+    paid = F.col("units") * F.col("rows") - before
+    columns = ["op", "order_id", *VKEY]
+    of_sets = sets.where(F.col("new_rows") > 0).select(
+        *columns, F.col("new_units").alias("units"),
+        F.when(F.col("kind") == "glasses", paid).otherwise(0).alias("extra_units"))
+    alone = batch.where(F.col("change_set").isNull()).select(
+        *columns, F.col("units").cast("long").alias("units"),
+        F.when(F.col("kind") == "glasses", F.col("units")).otherwise(0).cast("long")
+        .alias("extra_units"))
+    return of_sets.unionByName(alone)
 
 
 def start_totals_stream(spark: SparkSession, t: Tables, feed_path: str, out_path: str,
                         checkpoint: str, max_files_per_trigger: int = FILES_PER_TRIGGER,
                         available_now: bool = True):
     """Start the streaming query; returns the StreamingQuery."""
-    feed = (spark.readStream.schema(FEED_SCHEMA)
+    feed = (spark.readStream.schema(SET_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(feed_path))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         now = t.refresh()        # options and prices as they are now
+        before = spark.createDataFrame([], SETS)
+        if batch_id > 0:
+            before = spark.read.schema(SETS).parquet(f"{out_path}/sets/batch_id={batch_id - 1}")
+        path = f"{out_path}/sets/batch_id={batch_id}"
+        merged_sets(batch, before).select(*before.columns).write.mode("overwrite").parquet(path)
+        added = added_by_batch(batch, spark.read.schema(SETS).parquet(path))
         wanted = batch.select(*VKEY).distinct()
         extras = version_extras(now.selected.join(wanted, VKEY, "left_semi"), now.customizations)
-        deltas = signed_amounts(batch, now.products, extras).groupBy("order_id").agg(
+        deltas = signed_amounts(added, now.products, extras).groupBy("order_id").agg(
             F.sum("amount").cast("decimal(38,2)").alias("delta"))
         deltas.write.mode("overwrite").parquet(f"{out_path}/deltas/batch_id={batch_id}")
+        for n in _numbered(spark, f"{out_path}/sets", "batch_id"):
+            if n < batch_id - 1:        # a retry of this batch needs the one before
+                drop_path(spark, f"{out_path}/sets/batch_id={n}")
         if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
             compact(spark, out_path, batch_id - 1)
 
