@@ -19,14 +19,17 @@ def _in_years(col: str, years) -> F.Column:
     return (c >= F.lit(lo)) & (c < F.lit(hi)) & F.year(c).isin(list(years))
 
 
-def product_annual_stats(t: Tables, p: Params = DEFAULT) -> DataFrame:
+def product_annual_stats(t: Tables, p: Params = DEFAULT,
+                         by_year: DataFrame | None = None) -> DataFrame:
     """Product x year grid with searches, orders, units and rating.
 
     The grid is generated per product by exploding the (parameter-sized)
     year list, so no cross join is planned. The four measures are reduced
     to (product, year) granularity, stacked with UNION ALL and folded by
     one aggregate, then left-joined to the grid once. An order holding the
-    product in both line tables counts twice, as in the reference.
+    product in both line tables counts twice, as in the reference. ``by_year``
+    gives the orders ``o`` and units ``u`` per (product, year) where they are kept
+    (``operators.kept``).
     """
     years = list(p.years)
     z = F.lit(None).cast("bigint")
@@ -53,9 +56,12 @@ def product_annual_stats(t: Tables, p: Params = DEFAULT) -> DataFrame:
                     F.count("rating").alias("rc"))
                .select("product_id", "year", z.alias("s"), z.alias("o"), z.alias("u"),
                        "rs", "rc"))
-    measures = (searches.unionByName(line_measure(t.ordered))
-                .unionByName(line_measure(t.glasses_ordered))
-                .unionByName(ratings)
+    if by_year is None:
+        sold = line_measure(t.ordered).unionByName(line_measure(t.glasses_ordered))
+    else:
+        sold = by_year.where(F.col("year").isin(years)).select(
+            "product_id", "year", z.alias("s"), "o", "u", z.alias("rs"), z.alias("rc"))
+    measures = (searches.unionByName(sold).unionByName(ratings)
                 .groupBy("product_id", "year")
                 .agg(*[F.sum(c).alias(c) for c in ["s", "o", "u", "rs", "rc"]]))
     grid = t.products.select(

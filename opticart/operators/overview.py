@@ -43,18 +43,24 @@ def order_measures(t: Tables) -> DataFrame:
                       F.min("order_date").alias("_first"),
                       F.countDistinct(F.when(F.col("order_date").isNotNull(), F.col("order_id")))
                       .alias("_dated")))
+    return fold_countries(by_country)
+
+
+def fold_countries(by_country: DataFrame) -> DataFrame:
+    """The order measures per product from those per (product, country, known order)."""
     per_product = by_country.groupBy("product_id").agg(
         F.sum("_n").alias("total_orders"),
         F.sum("_u").alias("total_units"),
         F.datediff(F.max("_last"), F.min("_first")).alias("_span"),
         F.sum("_dated").alias("_dated"),
-        F.min(F.when(F.col("_hit"), F.struct(
+        F.min(F.when(F.col("_hit") & (F.col("_n") > 0), F.struct(
             (-F.col("_n")).alias("least"), F.col("country").isNull().alias("unknown"),
             "country"))).alias("_top"))
     return per_product.withColumn("top_country", F.col("_top.country")).drop("_top")
 
 
-def products_overview(t: Tables, p: Params = DEFAULT) -> DataFrame:
+def products_overview(t: Tables, p: Params = DEFAULT,
+                      measures: DataFrame | None = None) -> DataFrame:
     """One row per product with rating, searches, orders, ratio,
     mean days between its orders, units and top country.
 
@@ -66,8 +72,9 @@ def products_overview(t: Tables, p: Params = DEFAULT) -> DataFrame:
         orders: span / (distinct orders - 1);
       * top country: lines per (product, country), first by count desc,
         then country.
+    ``measures`` gives the order measures where they are kept (``operators.kept``).
     """
-    per_product = order_measures(t)
+    per_product = order_measures(t) if measures is None else measures
     searches = t.searches_for_products.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("total_searches"))
     o = F.coalesce(F.col("total_orders"), F.lit(0))

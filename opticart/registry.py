@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opticart.operators import (annual, discounts, history, intake, nested, overview, sales,
-                                totals, windows)
+from opticart.operators import (annual, discounts, history, intake, kept, nested, overview,
+                                sales, totals, windows)
 from opticart.params import DEFAULT, Params
 from opticart.streaming import intake as intake_stream
 from opticart.streaming import order_totals as streaming
@@ -34,6 +34,9 @@ PRODUCTS = {
     "apply_line_deltas": totals.plain_deltas_applied,
     "apply_custom_line_deltas": totals.custom_deltas_applied,
     "totals_kept_in_place": totals.totals_kept_in_place,
+    "products_overview_kept": kept.overview_kept,
+    "product_annual_stats_kept": kept.annual_stats_kept,
+    "revenue_of_stored_totals": kept.revenue_of_stored_totals,
     "delete_latest_order_lines": totals.remaining_after_returns,
     "low_seller_discounts": discounts.low_seller_discounts,
     "product_annual_stats": annual.product_annual_stats,

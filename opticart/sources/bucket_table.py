@@ -57,6 +57,10 @@ class BucketTable:
         """Buckets of the keys of ``changes``: at most as many numbers as there are buckets."""
         return sorted(r[0] for r in changes.select(self.bucket().alias("b")).distinct().collect())
 
+    def rows_near(self, changes: DataFrame) -> DataFrame:
+        """The rows of the buckets that the keys of ``changes`` fall into."""
+        return self._rows().where(F.col(BUCKET).isin(self._touched(changes))).select(*self.columns)
+
     def _write(self, rows: DataFrame, tasks: int, mode: str = "dynamic") -> None:
         # one file per bucket; only buckets with rows are replaced
         (rows.repartition(max(tasks, 1), BUCKET).write.mode("overwrite")
@@ -67,19 +71,22 @@ class BucketTable:
                apply: Callable[[DataFrame, DataFrame], DataFrame]) -> list[int]:
         """Replace the rows of touched buckets by ``apply(rows, changes)``; returns the buckets.
 
-        ``changes`` has the key; ``apply`` returns one row per row given (UPDATE ...
-        FROM), with the table's columns.
+        ``changes`` has the key. ``apply`` gets the rows of the touched buckets and the
+        changes that fall into them and returns the new rows, with the table's columns:
+        one per row given (UPDATE ... FROM), or also new ones. Buckets that have the
+        change set already are left alone.
         """
         touched = self._touched(changes)
-        if touched:
-            rows = self._rows().where(F.col(BUCKET).isin(touched))
-            todo = rows.where(F.col(APPLIED) < change_set).select(*self.columns)
-            new = apply(todo, changes).select(
-                *self.columns, F.lit(change_set).cast("long").alias(APPLIED),
-                self.bucket().alias(BUCKET))
-            done = rows.where(F.col(APPLIED) >= change_set)
-            self._write(new.unionByName(done), len(touched))
-        return touched
+        rows = self._rows().where(F.col(BUCKET).isin(touched))
+        done = {r[0] for r in rows.where(F.col(APPLIED) >= change_set).select(BUCKET).distinct()
+                .collect()} if touched else set()
+        todo = [b for b in touched if b not in done]
+        if todo:
+            new = apply(rows.where(F.col(BUCKET).isin(todo)).select(*self.columns),
+                        changes.where(self.bucket().isin(todo)))
+            self._write(new.select(*self.columns, F.lit(change_set).cast("long").alias(APPLIED),
+                                   self.bucket().alias(BUCKET)), len(todo))
+        return todo
 
     def delete(self, keys: DataFrame, on: list[str]) -> list[int]:
         """Remove the rows that equal a row of ``keys`` in ``on`` (with the key among them)."""

@@ -26,7 +26,8 @@ from opticart.params import DEFAULT, Params
 # Products that run a job while being built (ranking checkpoints, stream
 # replays) are not registered as views; call them from Python.
 EAGER = ("search_to_order_quartile", "customer_intake", "stream_order_totals",
-         "customer_intake_stream", "totals_kept_in_place")
+         "customer_intake_stream", "totals_kept_in_place",
+         "products_overview_kept", "product_annual_stats_kept", "revenue_of_stored_totals")
 
 TABLES = ("customers", "credit_cards", "products", "base_frames", "ordered",
           "glasses_ordered", "versions", "selected", "customizations", "searches",

@@ -19,7 +19,9 @@ HOT_PRODUCT = 3          # a customisable frame that exists in products
 ONLY_CONFORMED = [k for k in registry.PRODUCTS
                   if k not in ("apply_line_deltas", "apply_custom_line_deltas",
                                "delete_latest_order_lines", "stream_order_totals",
-                               "customer_intake_stream")]
+                               "customer_intake_stream", "totals_kept_in_place",
+                               "products_overview_kept", "product_annual_stats_kept",
+                               "revenue_of_stored_totals")]
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1",
                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
