@@ -6,7 +6,8 @@
     python -m opticart run products_overview --data /data/retail \
         --out /shared/products_overview --version 2001-08-01 [--as-of 2001-08-01]
     python -m opticart run low_seller_discounts ... --param lower_discount=0.1 \
-        --param upper_discount=0.5 --param years=1999,2000,2001
+        --param upper_discount=0.5 --param years=1999,2000,2001 \
+        [--stored-discounts /shared/discounts/version=2001-07-01]
 
 Under spark-submit the submitted settings (master, shuffle partitions,
 checkpoint folder) stay; without a configured master a local session is
@@ -60,6 +61,9 @@ def main(argv: list[str] | None = None) -> int:
                      help="the date that replaces the clock (default: Params.as_of)")
     run.add_argument("--param", action="append", default=[], metavar="KEY=VALUE",
                      help="any other Params field, e.g. year=2000 or years=1999,2000")
+    run.add_argument("--stored-discounts", default=None, metavar="PATH",
+                     help="snapshot with product_id and discount, which products that do not "
+                          "qualify keep")
     args = ap.parse_args(argv)
 
     if args.cmd == "list":
@@ -71,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
     from opticart.session import job_session
     spark = job_session()
     params = parse_params(args.param, args.as_of)
-    df = registry.queries(params)[args.product](spark, args.data)
+    df = registry.queries(params, args.stored_discounts)[args.product](spark, args.data)
     path = write_snapshot(df, args.out, args.version)
     if args.product == "customer_intake":
         routed = spark.read.schema(df.schema).parquet(path)

@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from opticart.params import ALLOWED_EMAIL_SUFFIXES, EMAIL_RULES
 
 
+def collated(email: Column, collation: str) -> Column:
+    """The address under a collation, for comparisons, joins and groups; as it is without one.
+
+    UTF8_LCASE_RTRIM is what the reference's case-insensitive, blank-padded comparison does.
+    """
+    return F.collate(email, collation) if collation else email
+
+
 def email_suffix(email: Column) -> Column:
     """Lower-cased text after the last dot (the whole text if there is none).
 

@@ -22,8 +22,10 @@ def low_seller_discounts(t: Tables, p: Params = DEFAULT,
     to 2 (equal min and max give ``upper``). The global min and max are
     one uncorrelated scalar subquery, not a window over all products.
     Products that do not qualify keep their discount of ``stored``
-    (product_id, discount), or NULL without it.
+    (product_id, discount), by default the tables' stored column, or NULL without it.
     """
+    if stored is None:
+        stored = getattr(t, "stored_discounts", None)
     rv = t.reviews.groupBy("product_id").agg(
         F.sum("rating").alias("_rs"), F.count("rating").alias("_rc"),
         F.count(F.lit(1)).alias("_nrev"))

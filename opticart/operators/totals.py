@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opticart.functions.blocks import VKEY, version_extras, with_version_prices
+from opticart.functions.email import collated
 from opticart.operators.common import stored_line_amounts
 from opticart.params import DEFAULT, Params
 from opticart.session import shared_path
@@ -166,14 +167,15 @@ def totals_kept_in_place(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
 
 # ------------------------------------------------------------------ D17
-def resolve_emails(t: Tables) -> DataFrame:
-    """(email, customer_id) for e-mails that name exactly one customer.
+def resolve_emails(t: Tables, collation: str = "") -> DataFrame:
+    """(email, customer_id) for e-mails that name exactly one customer, equal under the
+    collation.
 
     The reference looks the customer up with a scalar subquery, which
     fails (and deletes nothing) when an address is shared.
     """
     return (t.customers.where(F.col("email").isNotNull())
-            .groupBy("email")
+            .groupBy(collated(F.col("email"), collation).alias("email"))
             .agg(F.count(F.lit(1)).alias("_n"), F.min("customer_id").alias("customer_id"))
             .where(F.col("_n") == 1).drop("_n"))
 
@@ -212,7 +214,8 @@ def return_requests(t: Tables) -> DataFrame:
 
 
 def delete_latest_order_lines(t: Tables, requests: DataFrame,
-                              lines: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                              lines: DataFrame | None = None,
+                              collation: str = "") -> tuple[DataFrame, DataFrame]:
     """Remove (product, version) lines from the requesters' latest orders.
 
     Works on many requests at once. Returns (remaining lines, removed lines);
@@ -221,7 +224,9 @@ def delete_latest_order_lines(t: Tables, requests: DataFrame,
     lines = t.glasses_ordered if lines is None else lines
     # NULL addresses match no customer; dropping them first keeps them from
     # piling onto one join key. Only the requesters' orders are aggregated.
-    resolved = requests.where(F.col("email").isNotNull()).join(resolve_emails(t), "email")
+    resolved = (requests.where(F.col("email").isNotNull())
+                .withColumn("email", collated(F.col("email"), collation))
+                .join(resolve_emails(t, collation), "email"))
     requesters = resolved.select("customer_id").distinct()
     targets = (resolved.join(latest_orders(t, requesters), "customer_id")
                .select("order_id", *VKEY).distinct())
@@ -231,7 +236,7 @@ def delete_latest_order_lines(t: Tables, requests: DataFrame,
 
 def remaining_after_returns(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """D17 over the data: customised lines left after the return requests."""
-    return delete_latest_order_lines(t, return_requests(t))[0]
+    return delete_latest_order_lines(t, return_requests(t), collation=p.email_collation)[0]
 
 
 # ------------------------------------------------------------------ D20

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opticart.functions.blocks import gap_aggregates, positive
+from opticart.functions.distinct import bits_of, count_bits, word_of
 from opticart.functions.numeric import idiv, money_cents, round_ratio
 from opticart.functions.ranking import global_ntile
 from opticart.operators.common import grouped_revenue
@@ -98,11 +99,16 @@ def country_efficiency(t: Tables, p: Params = DEFAULT) -> DataFrame:
     # A country needs two dated orders (a gap) and one carded order.
     facts = og.select("order_id", "order_date", "card_number", "country").join(
         t.credit_cards, "card_number", "left")
-    stats = (facts.groupBy("country").agg(
-                 *gap_aggregates("order_date"),
-                 F.countDistinct("customer_id").alias("active_customers"),
-                 F.count(F.when(F.col("customer_id").isNotNull(), F.col("order_id")))
-                 .alias("total_orders"))
+    # The customers are words of a bitmap, folded with the rest per country.
+    words = facts.groupBy("country", word_of("customer_id").alias("_word")).agg(
+        bits_of("customer_id").alias("_bits"), F.min("order_date").alias("_first"),
+        F.max("order_date").alias("_last"), F.count("order_date").alias("_dated"),
+        F.count(F.when(F.col("customer_id").isNotNull(), F.col("order_id"))).alias("_carded"))
+    stats = (words.groupBy("country").agg(
+                 F.datediff(F.max("_last"), F.min("_first")).alias("span_days"),
+                 (F.sum("_dated") - F.lit(1)).alias("n_gaps"),
+                 count_bits("_bits").alias("active_customers"),
+                 F.sum("_carded").alias("total_orders"))
              .where(F.col("country").isNotNull()      # the reference's joins drop it
                     & (F.col("n_gaps") > 0) & (F.col("total_orders") > 0)))
     # Countries whose orders have no lines keep revenue 0 (left join).

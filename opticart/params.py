@@ -34,6 +34,7 @@ class Params:
     upper_discount: float = 0.5
     quartiles: int = 4
     allowed_suffixes: tuple[str, ...] = field(default=ALLOWED_EMAIL_SUFFIXES)
+    email_collation: str = ""                      # e.g. UTF8_LCASE_RTRIM; empty: byte by byte
 
     def __post_init__(self):
         problems = []

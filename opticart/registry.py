@@ -48,14 +48,15 @@ PRODUCTS = {
 }
 
 
-def _bind(fn, params: Params) -> Query:
+def _bind(fn, params: Params, discounts: str | None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
-        return fn(Tables(spark, sf_dir), params)
+        return fn(Tables(spark, sf_dir, discounts), params)
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
 
 
-def queries(params: Params = DEFAULT) -> dict[str, Query]:
-    return {key: _bind(fn, params) for key, fn in PRODUCTS.items()}
+def queries(params: Params = DEFAULT, discounts: str | None = None) -> dict[str, Query]:
+    """The products; ``discounts`` is a snapshot that holds the stored discount column."""
+    return {key: _bind(fn, params, discounts) for key, fn in PRODUCTS.items()}

@@ -44,13 +44,14 @@ def _catalogue_only(part: Column) -> Column:
 class Tables:
     """Conformed tables of one data set (one folder of driver parquet)."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, discounts: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.discounts = discounts
 
     def refresh(self) -> "Tables":
         """The same data set as its folder is now."""
-        return Tables(self.spark, self.root)
+        return Tables(self.spark, self.root, self.discounts)
 
     def raw(self, name: str) -> DataFrame:
         """The driver table ``name`` with its declared schema.
@@ -72,6 +73,17 @@ class Tables:
             F.col("p_retailprice").cast(MONEY).alias("price"),
         )
 
+    @cached_property
+    def stored_discounts(self) -> DataFrame | None:
+        """The stored discount column (product_id, discount), if there is one.
+
+        A snapshot of the products from before the column was added reads with the
+        column's default, NULL.
+        """
+        if self.discounts is None:
+            return None
+        return self.spark.read.schema("product_id bigint, discount double").parquet(self.discounts)
+
     @cached_property
     def base_frames(self) -> DataFrame:
         return self.raw("part").where(F.col("p_partkey") % 3 == 0).select(

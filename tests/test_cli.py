@@ -16,7 +16,7 @@ def test_cli_run_writes_snapshot(spark, capsys):
 
 def test_cli_lists_every_product(capsys):
     assert main(["list"]) == 0
-    assert len(capsys.readouterr().out.strip().splitlines()) == 23
+    assert len(capsys.readouterr().out.strip().splitlines()) == 27
 
 
 def test_cli_params_are_typed():
