@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,16 @@ from opticart.functions.blocks import (VKEY, price_glasses_lines, price_plain_li
 from opticart.sources.conform import Tables
 
 
+def orders_between(t: Tables, first: dt.date, end: dt.date | None = None) -> DataFrame:
+    """Orders dated from ``first`` up to before ``end``, as a range that reaches the files;
+    tables laid out by year read those years only."""
+    if hasattr(t, "orders_between"):
+        return t.orders_between(first, end)
+    day = F.col("order_date")
+    wanted = day >= F.lit(first)
+    return t.orders.where(wanted if end is None else wanted & (day < F.lit(end)))
+
+
 def grouped_revenue(t: Tables, keyed_orders: DataFrame, keys: list[str]) -> DataFrame:
     """(keys..., revenue) for lines of the given orders, grouped by ``keys``.
 

@@ -18,14 +18,19 @@ def customer_history(t: Tables, customer_id: int | None = None) -> DataFrame:
     customer id the cards are filtered first and the line tables are
     semi-reduced to that customer's orders (a small broadcast side), which
     is the reference's second, filter-first form. Customised lines are
-    priced through base-frame versions only. Orders without lines give 0.
+    priced through base-frame versions only. Orders without lines give 0. Tables
+    laid out for look-ups (``sources.layout``) give the customer's orders and lines
+    from their buckets.
     """
     cards = t.credit_cards
     if customer_id is not None:
         cards = cards.where(F.col("customer_id") == F.lit(customer_id))
     co = t.orders.select("order_id", "order_date", "card_number").join(cards, "card_number")
     plain, glasses = t.ordered, t.glasses_ordered
-    if customer_id is not None:
+    if customer_id is not None and hasattr(t, "orders_of"):
+        co = t.orders_of(customer_id)
+        plain, glasses = t.lines_of("ordered", co), t.lines_of("glasses_ordered", co)
+    elif customer_id is not None:
         ids = co.select("order_id")
         plain = plain.join(ids, "order_id", "left_semi")
         glasses = glasses.join(ids, "order_id", "left_semi")

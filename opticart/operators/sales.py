@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from opticart.functions.blocks import VKEY, version_extras
 from opticart.functions.skew import split_join
+from opticart.operators.common import orders_between
 from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
 
@@ -36,7 +37,7 @@ def custom_buyer_spend(t: Tables, p: Params = DEFAULT) -> DataFrame:
     per_order = line.groupBy("order_id").agg(
         F.sum(spend).alias("spend"),
         F.sum(spend + F.coalesce(F.col("sum_extra"), F.lit(0))).alias("tc"))
-    orders = t.orders.where(F.col("order_date") >= F.lit(start)).select("order_id", "card_number")
+    orders = orders_between(t, start).select("order_id", "card_number")
     per_customer = (per_order.join(orders, "order_id")
                     .join(t.credit_cards, "card_number")
                     .groupBy("customer_id")
@@ -67,8 +68,7 @@ def top_products_by_units(t: Tables, p: Params = DEFAULT) -> DataFrame:
     for products with an in-year line. Only per-product aggregates move.
     """
     lo, hi = _year_range(p.year)
-    in_year = t.orders.where((F.col("order_date") >= F.lit(lo)) & (F.col("order_date") < F.lit(hi))
-                             ).select("order_id")
+    in_year = orders_between(t, lo, hi).select("order_id")
     o = _product_year_stats(t.ordered, in_year, "o")
     g = _product_year_stats(t.glasses_ordered, in_year, "g")
     z = F.lit(0)
@@ -92,8 +92,7 @@ def top_products_by_units_split(t: Tables, p: Params = DEFAULT) -> DataFrame:
     pushed filter. Units are reduced per product before the product join.
     """
     lo, hi = _year_range(p.year)
-    in_year = t.orders.where((F.col("order_date") >= F.lit(lo)) & (F.col("order_date") < F.lit(hi))
-                             ).select("order_id")
+    in_year = orders_between(t, lo, hi).select("order_id")
     # Each line table meets the orders on its own (order-bucketed tables
     # join without a shuffle; otherwise the orders side's exchange is reused).
     lines = (t.ordered.select("order_id", "product_id", "units").join(in_year, "order_id")

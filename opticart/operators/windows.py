@@ -12,7 +12,7 @@ from opticart.functions.blocks import gap_aggregates, positive
 from opticart.functions.distinct import bits_of, count_bits, word_of
 from opticart.functions.numeric import idiv, money_cents, round_ratio
 from opticart.functions.ranking import global_ntile
-from opticart.operators.common import grouped_revenue
+from opticart.operators.common import grouped_revenue, orders_between
 from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
 
@@ -30,7 +30,7 @@ def quarterly_revenue_rank(t: Tables, p: Params = DEFAULT) -> DataFrame:
     has none.
     """
     start = dt.date(p.as_of.year - p.revenue_lookback_years, 1, 1)
-    orders = t.orders.where(F.col("order_date") >= F.lit(start)).select(
+    orders = orders_between(t, start).select(
         "order_id", F.year("order_date").alias("year"), F.quarter("order_date").alias("quarter"))
     q = grouped_revenue(t, orders, ["year", "quarter"]).select(
         "year", "quarter", F.col("revenue").cast(MONEY_OUT).alias("quarterly_revenue"))

@@ -22,6 +22,27 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return out.getvalue()
 
 
+def files_read(df: DataFrame) -> dict[str, int]:
+    """Files that each scanned folder gave to ``df``, which is run for it (to the driver:
+    for small results). Pruned partitions, also those pruned at run time, do not count."""
+    df.collect()
+    found: dict[str, int] = {}
+    todo = [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        elif name.startswith("Scan parquet"):
+            root = node.relation().location().rootPaths().head().getName()
+            found[root] = found.get(root, 0) + node.metrics().apply("numFiles").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
 @dataclass
 class PlanSummary:
     exchanges: int = 0
