@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opticart.session import ensure_checkpoint_dir
+from opticart.session import drop_path, ensure_checkpoint_dir
 
 # The word rule of the contracts: runs of characters other than blank and
 # \t \n \v \f \r. Written as a separator class for split().
@@ -93,7 +93,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` whose last reader has run."""
+    for df in tables:
+        path = getattr(df, "_scratch", None)
+        if path is not None:
+            drop_path(df.sparkSession, path)
 
 
 _shipped: set[str] = set()

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opticart.functions.ranking import global_row_number
-from opticart.llm.common import materialise, ship
+from opticart.llm.common import discard, materialise, ship
 
 FAN = 16                      # nodes that become one node
 LEVELS = 3                    # levels reduced at once
@@ -79,20 +79,21 @@ def leaves(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
         other.alias("other"))
 
 
-def _before(sums: DataFrame, key: str) -> DataFrame:
+def _before(sums: DataFrame, key: str, scratch: list[DataFrame]) -> DataFrame:
     """``sums`` (tree, key, rows, ...) with ``start`` = rows of the tree under lower keys.
 
     Keys are grouped by their upper bits until no tree has many groups; the starts of
     the groups come from a window per tree, those of the keys from a window per group
-    of at most 1024.
+    of at most 1024. ``scratch`` gets the tables that the result reads.
     """
     sums = materialise(sums, "directory")
+    scratch.append(sums)
     most = sums.groupBy("tree").count().agg(F.max("count")).first()[0]
     if most is None or most <= FEW:
         return sums.withColumn("start", _running("tree", key))
     upper = sums.withColumn("upper", F.shiftright(key, GROUP_BITS))
     above = _before(upper.groupBy("tree", F.col("upper").alias(key))
-                    .agg(F.sum("rows").alias("rows")), key)
+                    .agg(F.sum("rows").alias("rows")), key, scratch)
     above = above.select("tree", F.col(key).alias("upper"), F.col("start").alias("base"))
     return (upper.withColumn("inside", _running("tree", "upper", key))
             .join(above, ["tree", "upper"])
@@ -112,7 +113,10 @@ def bitmaps(keyed: DataFrame) -> DataFrame:
     bit = F.expr(f"shiftleft(1L, cast(doc_id & {(1 << WORD_BITS) - 1} AS int))")
     words = keyed.groupBy("tree", "word").agg(
         F.coalesce(F.bit_or(bit), F.lit(0)).alias("bits"), F.count(F.lit(1)).alias("rows"))
-    return materialise(_before(words, "word"), "bitmaps")
+    scratch: list[DataFrame] = []
+    out = materialise(_before(words, "word", scratch), "bitmaps")
+    discard(*scratch)
+    return out
 
 
 def places(rows: DataFrame) -> DataFrame:
@@ -133,7 +137,9 @@ def places(rows: DataFrame) -> DataFrame:
         first = number.groupBy("tree", "word").agg(F.min("number").alias("first"))
         placed = placed.unionByName(number.join(first, ["tree", "word"]).select(
             *rows.columns, (F.col("start") + F.col("number") - F.col("first")).alias("at")))
-    return materialise(placed, "places")
+    out = materialise(placed, "places")
+    discard(keyed, words)
+    return out
 
 
 def _hash(joined: bytes) -> bytes:
@@ -250,17 +256,20 @@ def descend(rounds: list[DataFrame], paths: DataFrame, leaf: bool = False) -> Da
 
     With ``leaf`` the first round has leaves, and their results are returned.
     """
+    lower = paths
     if len(rounds) == 1 and not leaf:
         return paths
     for i in range(max(len(rounds) - 2, 0), -1, -1):
         last = leaf and i == 0
         nodes = _blocks(rounds[i])
-        paths = (nodes.groupBy("tree", "block")
+        lower = (nodes.groupBy("tree", "block")
                  .cogroup(paths.withColumn("block", F.col("at")).groupBy("tree", "block"))
                  .applyInArrow(_proofs if last else _path_rows, RESULT if last else PATHS))
         if not last:
-            paths = materialise(paths, "paths")
-    return paths
+            above, paths = paths, materialise(lower, "paths")
+            discard(above, rounds[i + 1])
+            lower = paths
+    return lower
 
 
 def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
@@ -274,16 +283,19 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     numbered = global_row_number(subroots, [F.col("of")], "number")
     tops = materialise(numbered.select("of", F.lit("").alias("tree"),
                                        (F.col("number") - 1).alias("at"), "node"), "subroots")
+    discard(*rounds[1:][-1:])         # the way down reads the rounds before it
     top_rounds = reduce_trees(tops.select("tree", "at", "node"))
     empty = F.lit(b"").cast("binary")
     none = F.lit(None).cast("binary")
     root = top_rounds[-1].select("tree", "at", empty.alias("siblings"), empty.alias("shape"),
                                  none.alias("subroot"), F.col("node").alias("root"))
-    paths = descend(top_rounds, root).drop("tree", "subroot")
-    by_tree = (tops.select("of", "at", "node").join(paths, "at")
+    paths = descend(top_rounds, root)
+    by_tree = (tops.select("of", "at", "node").join(paths.drop("tree", "subroot"), "at")
                .select(F.col("of").alias("tree"), F.lit(0).cast("long").alias("at"), "siblings",
                        "shape", F.col("node").alias("subroot"), "root"))
-    return descend(rounds, materialise(by_tree, "paths"), leaf=True)
+    starts = materialise(by_tree, "paths")
+    discard(tops, paths)
+    return descend(rounds, starts, leaf=True)
 
 
 def by_crc(divisor: int = 5) -> Column:

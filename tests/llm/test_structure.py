@@ -202,6 +202,24 @@ def test_manifest_block_borders(spark, n):
     assert got == Counter(brute.merkle(rows))
 
 
+def test_manifest_leaves_few_scratch_tables(spark):
+    """Only what the result reads stays: the leaves' places and the paths above them."""
+    import os
+
+    from opticart.session import ensure_checkpoint_dir
+    root = f"{ensure_checkpoint_dir(spark).removeprefix('file:')}/llm"
+
+    def tables():
+        return {n for n in os.listdir(root) if not n.startswith("package")
+                and any(f.endswith(".parquet") for f in os.listdir(f"{root}/{n}"))}
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    mm.manifest(docs).count()
+    before = tables()
+    mm.manifest(docs).count()
+    assert sorted(n.rpartition("-")[0] for n in tables() - before) == ["paths", "places"]
+
+
 def test_manifest_of_many_sources(spark):
     rows = [(i, f"s{i}", "en", 1, "T") for i in range(5000)]
     docs = spark.createDataFrame(pd.DataFrame(rows, columns=["doc_id", "source", "lang", "n_chars",
