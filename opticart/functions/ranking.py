@@ -3,8 +3,9 @@
 ``row_number().over(Window.orderBy(...))`` moves the whole table into one
 task. Here the table is range-partitioned on the sort key and sorted
 inside each partition; the partition index and the position inside the
-partition (both carried by ``monotonically_increasing_id``) are fixed by a
-reliable checkpoint into the cluster's checkpoint folder, and a per-partition
+partition (both carried by ``monotonically_increasing_id``) are fixed by
+writing the rows once to the cluster's checkpoint folder (a ``checkpoint`` would
+sort them twice: once to run, once to save), and a per-partition
 count table (one row per partition, a proven bound) gives each partition
 its offset. Ties must be broken by a unique key among the sort columns so
 the numbering is deterministic.
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opticart.session import ensure_checkpoint_dir
+from opticart.session import shared_path
 
 _LOCAL_BITS = 33   # monotonically_increasing_id = partition << 33 | row in partition
 
@@ -32,11 +33,14 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rn",
     count under that name.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(b) for b in by] + list(order)
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    tagged = ranged.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    # without a number of its own the engine merges small ranges at run time
+    ranged = (df.repartitionByRange(partitions, *keys) if partitions
+              else df.repartitionByRange(*keys)).sortWithinPartitions(*keys)
+    numbered = ranged.withColumn("_mid", F.monotonically_increasing_id())
+    path = shared_path(spark, "ranked")
+    numbered.write.mode("overwrite").parquet(path)
+    tagged = spark.read.schema(numbered.schema).parquet(path)
     tagged = (tagged.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS))
               .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))))
     # A range partition may hold the end of one group and the start of the
