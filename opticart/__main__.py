@@ -1,8 +1,8 @@
 """Command line: list the data products or run one into a snapshot.
 
     python -m opticart list
-    python -m opticart run customer_intake ... --out /shared/intake   (also appends to
-        /shared/intake-customers and /shared/intake-email_error_log)
+    python -m opticart run customer_intake ... --out /shared/intake   (one table of routed
+        rows; the new customers and the error log are views on it, sql.register_intake)
     python -m opticart run products_overview --data /data/retail \
         --out /shared/products_overview --version 2001-08-01 [--as-of 2001-08-01]
     python -m opticart run low_seller_discounts ... --param lower_discount=0.1 \
@@ -76,11 +76,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = job_session()
     params = parse_params(args.param, args.as_of)
     df = registry.queries(params, args.stored_discounts)[args.product](spark, args.data)
-    path = write_snapshot(df, args.out, args.version)
-    if args.product == "customer_intake":
-        routed = spark.read.schema(df.schema).parquet(path)
-        root = args.out.rstrip("/")
-        write_intake(routed, f"{root}-customers", f"{root}-email_error_log", args.version)
+    write = write_intake if args.product == "customer_intake" else write_snapshot
+    path = write(df, args.out, args.version)
     print(path)
     return 0
 

@@ -25,12 +25,13 @@ _LOCAL_BITS = 33   # monotonically_increasing_id = partition << 33 | row in part
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rn",
                       total: str | None = None, partitions: int | None = None,
-                      by: Sequence[str] = ()) -> DataFrame:
+                      by: Sequence[str] = (), path: str | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of each row in the total order.
 
     With ``by`` (a few non-NULL group columns, e.g. a status) numbering
     restarts per group. With ``total`` set, also add the (group's) row
-    count under that name.
+    count under that name. The ranked rows go to ``path``, which the caller deletes
+    once the result has been read; without one they stay until the application ends.
     """
     spark = df.sparkSession
     keys = [F.col(b) for b in by] + list(order)
@@ -38,7 +39,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rn",
     ranged = (df.repartitionByRange(partitions, *keys) if partitions
               else df.repartitionByRange(*keys)).sortWithinPartitions(*keys)
     numbered = ranged.withColumn("_mid", F.monotonically_increasing_id())
-    path = shared_path(spark, "ranked")
+    path = path or shared_path(spark, "ranked")
     numbered.write.mode("overwrite").parquet(path)
     tagged = spark.read.schema(numbered.schema).parquet(path)
     tagged = (tagged.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opticart.functions.email import email_error_code, email_error_message
 from opticart.functions.ranking import global_row_number
 from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
-from opticart.sources.sinks import append_rows
+from opticart.sources.sinks import read_committed, write_snapshot
 
 ACCEPTED, REJECTED = "accepted", "rejected"
+ROUTED = ("feed_seq bigint, customer_id bigint, first_name string, last_name string, email string, "
+          "log_id bigint, error_number int, error_description string, log_date timestamp_ntz, "
+          "status string")
 
 
 def customer_feed(t: Tables) -> DataFrame:
@@ -23,7 +26,7 @@ def customer_feed(t: Tables) -> DataFrame:
 
 def customer_intake(t: Tables, p: Params = DEFAULT, feed: DataFrame | None = None,
                     existing_ids: DataFrame | None = None,
-                    logged_ids: DataFrame | None = None) -> DataFrame:
+                    logged_ids: DataFrame | None = None, scratch: str | None = None) -> DataFrame:
     """Run the whole feed through the e-mail rules in one job.
 
     The reference's procedure handles one row per call: the first failing
@@ -36,13 +39,14 @@ def customer_intake(t: Tables, p: Params = DEFAULT, feed: DataFrame | None = Non
 
     ``existing_ids`` (customer_id) and ``logged_ids`` (log_id) extend the
     customer table and the error log, e.g. with rows accepted or logged by
-    earlier micro-batches of a stream.
+    earlier micro-batches of a stream. ``scratch`` is the folder of the ranked rows,
+    for callers that delete it once the result is written.
     """
     feed = customer_feed(t) if feed is None else feed
     code = email_error_code(F.col("email"), p.allowed_suffixes)
     staged = feed.withColumn("error_number", code).withColumn(
         "status", F.when(F.col("error_number").isNull(), F.lit(ACCEPTED)).otherwise(F.lit(REJECTED)))
-    ranked = global_row_number(staged, [F.col("feed_seq")], "_seq", by=["status"])
+    ranked = global_row_number(staged, [F.col("feed_seq")], "_seq", by=["status"], path=scratch)
     ids = t.customers.select("customer_id")
     if existing_ids is not None:
         ids = ids.unionByName(existing_ids.select("customer_id"))
@@ -72,11 +76,17 @@ def email_error_log(intake: DataFrame) -> DataFrame:
         "log_id", F.col("email").alias("email_address"), "error_description", "log_date")
 
 
-def write_intake(intake: DataFrame, customers: str, error_log: str, version: int | str) -> None:
-    """Append the accepted rows to CUSTOMERS and the rejected ones to the error
-    log (one version folder each, so a repeated run replaces its own rows)."""
-    append_rows(accepted_customers(intake), customers, version)
-    append_rows(email_error_log(intake), error_log, version)
+def write_intake(intake: DataFrame, routed: str, version: int | str) -> str:
+    """Insert into CUSTOMERS and the error log at once: one write of the routed rows,
+    partitioned by status, is the only commit, and both tables are views on it
+    (``read_routed`` with ``accepted_customers`` or ``email_error_log``). A crash leaves
+    neither table changed; a repeated run replaces its own rows in both."""
+    return write_snapshot(intake, routed, version, partition_by=["status"])
+
+
+def read_routed(spark: SparkSession, routed: str) -> DataFrame:
+    """The rows of all finished intakes; a filter on status reads its partition only."""
+    return read_committed(spark, routed, ROUTED).drop("version")
 
 
 def add_customer(t: Tables, first_name: str, last_name: str, email: str | None,

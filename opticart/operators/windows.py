@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from opticart.functions.blocks import gap_aggregates, positive
 from opticart.functions.distinct import bits_of, count_bits, word_of
 from opticart.functions.numeric import idiv, money_cents, round_ratio
-from opticart.functions.ranking import global_ntile
+from opticart.functions.selection import first_bucket
 from opticart.operators.common import grouped_revenue, orders_between
 from opticart.params import DEFAULT, Params
 from opticart.sources.conform import Tables
@@ -51,8 +51,9 @@ def search_to_order_quartile(t: Tables, p: Params = DEFAULT) -> DataFrame:
     Distinct searches and distinct orders come from two separate
     per-customer aggregates (the reference's searches x cards x orders
     fan-out is never built). The mean gap between searches uses every
-    search row and truncates (AVG of INT). NTILE runs as a global range
-    ranking (B4); customers without orders have a NULL ratio and rank last.
+    search row and truncates (AVG of INT). The quartile's boundary is found by
+    exact selection, so no customer is sorted or moved for it; customers
+    without orders have a NULL ratio and rank last.
     """
     s = t.searches.groupBy("customer_id").agg(
         F.countDistinct("dt").alias("number_of_searches"), *gap_aggregates("dt"))
@@ -70,15 +71,14 @@ def search_to_order_quartile(t: Tables, p: Params = DEFAULT) -> DataFrame:
                 .cast("int").alias("avg_days_between_searches")))
     key = (F.col("number_of_searches").cast("double")
            / positive(F.col("number_of_orders")).cast("double"))
-    ranked = global_ntile(base.withColumn("_key", key), p.quartiles,
-                          [F.col("_key").desc_nulls_last(), F.col("customer_id").asc()],
-                          name="quartile")
-    return ranked.where(F.col("quartile") == 1).select(
+    keyed = base.withColumn("_key", key)
+    top = keyed.where(first_bucket(keyed, p.quartiles, "_key", "customer_id"))
+    return top.select(
         "customer_id", "full_name",
         F.col("number_of_searches").cast("bigint").alias("number_of_searches"),
         F.col("number_of_orders").cast("bigint").alias("number_of_orders"),
         round_ratio(F.col("number_of_searches"), F.col("number_of_orders"), 3, 10).alias("ratio"),
-        "quartile", "avg_days_between_searches")
+        F.lit(1).alias("quartile"), "avg_days_between_searches")
 
 
 def country_efficiency(t: Tables, p: Params = DEFAULT) -> DataFrame:

@@ -14,6 +14,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 
+from opticart.session import file_system
+
 
 def snapshot_path(root: str, version: int | str) -> str:
     return f"{root.rstrip('/')}/version={version}"
@@ -24,7 +26,8 @@ def write_snapshot(df: DataFrame, root: str, version: int | str,
     path = snapshot_path(root, version)
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        # the version is replaced as a whole, whatever the session's overwrite mode
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     writer.parquet(path)
     return path
 
@@ -56,6 +59,12 @@ def read_snapshot(spark: SparkSession, root: str, version: int | str) -> DataFra
     return spark.read.parquet(snapshot_path(root, version))
 
 
-def append_rows(df: DataFrame, root: str, version: int | str) -> str:
-    """Append-only logs (e.g. rejected intake rows): one folder per run."""
-    return write_snapshot(df, root, version)
+def read_committed(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """All versions whose write has ended (those with a ``_SUCCESS`` mark), with a
+    ``version`` column; an unfinished or crashed write is not seen at all."""
+    fs, pattern = file_system(spark, f"{root.rstrip('/')}/version=*/_SUCCESS")
+    done = [s.getPath().getParent().toString() for s in fs.globStatus(pattern) or []]
+    if not done:
+        return spark.createDataFrame([], f"{schema}, version string")
+    return (spark.read.schema(f"{schema}, version string").option("basePath", root)
+            .parquet(*sorted(done)))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from opticart import registry
-from opticart.operators import annual, history, overview, totals
+from opticart.operators import annual, history, intake, overview, totals
 from opticart.params import DEFAULT, Params
 
 # Products that run a job while being built (ranking checkpoints, stream
@@ -66,3 +66,12 @@ def register(spark: SparkSession, t, p: Params = DEFAULT) -> list[str]:
         RETURNS DOUBLE
         RETURN (SELECT gap FROM review_gaps WHERE review_id = rid)""")
     return names + ["customer_history()", "get_rating_gap()"]
+
+
+def register_intake(spark: SparkSession, routed: str) -> list[str]:
+    """The two tables an intake inserts into, as views on its one table: ``new_customers``
+    and ``email_error_log``. They show the versions finished when this is called."""
+    rows = intake.read_routed(spark, routed)
+    intake.accepted_customers(rows).createOrReplaceTempView("new_customers")
+    intake.email_error_log(rows).createOrReplaceTempView("email_error_log")
+    return ["new_customers", "email_error_log"]

@@ -7,9 +7,9 @@ from the largest id so far, and log ids continue the error log. Each batch
 writes one row with its largest ids (``marks/batch_id=<n>``) and the next one
 reads just that row, so the cost of a batch does not grow with history; if
 the row is missing the batch fails instead of starting over. A replayed
-batch sees the same mark and rewrites the same ids into its own folders:
-``routed`` (every row), ``customers`` and ``email_error_log`` (the rows to
-append to those tables).
+batch sees the same mark and rewrites the same ids into its own version of
+``routed``. That one write is the batch's commit: the new customers and the
+error log are views on ``routed``, so they never differ by half a batch.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opticart.operators.intake import customer_feed, customer_intake, write_intake
+from opticart.operators.intake import ROUTED, customer_feed, customer_intake, read_routed, write_intake
 from opticart.params import DEFAULT, Params
 from opticart.session import drop_path, shared_path
 from opticart.sources.conform import Tables
@@ -42,11 +42,12 @@ def start_intake_stream(spark: SparkSession, t: Tables, feed_path: str, sink: st
         before = spark.createDataFrame([(None, None)], MARKS)
         if batch_id > 0:
             before = spark.read.schema(MARKS).parquet(f"{sink}/marks/batch_id={batch_id - 1}")
-        routed = customer_intake(t, p, feed=batch, existing_ids=before, logged_ids=before)
-        path = f"{sink}/routed/batch_id={batch_id}"
-        routed.write.mode("overwrite").parquet(path)
-        done = spark.read.schema(routed.schema).parquet(path)
-        write_intake(done, f"{sink}/customers", f"{sink}/email_error_log", batch_id)
+        scratch = f"{sink}/ranking/batch_id={batch_id}"
+        path = write_intake(customer_intake(t, p, feed=batch, existing_ids=before,
+                                            logged_ids=before, scratch=scratch),
+                            f"{sink}/routed", batch_id)
+        drop_path(spark, scratch)
+        done = spark.read.schema(ROUTED).parquet(path)
         marks = done.select("customer_id", "log_id").unionByName(before).agg(
             F.max("customer_id").alias("customer_id"), F.max("log_id").alias("log_id"))
         marks.write.mode("overwrite").parquet(f"{sink}/marks/batch_id={batch_id}")
@@ -80,4 +81,4 @@ def replay_customer_feed(t: Tables, p: Params = DEFAULT) -> str:
 def customer_intake_stream(t: Tables, p: Params = DEFAULT, sink: str | None = None) -> DataFrame:
     """D22, streaming use: the routed rows of the streamed intake (as the batch intake)."""
     sink = sink or replay_customer_feed(t, p)
-    return t.spark.read.parquet(f"{sink}/routed").drop("batch_id")
+    return read_routed(t.spark, f"{sink}/routed")

@@ -43,10 +43,10 @@ def test_intake_run_appends_customers_and_log(spark, capsys):
     assert main(["run", "customer_intake", "--data", SMALL, "--out", root, "--version", "1"]) == 0
     path = capsys.readouterr().out.strip().splitlines()[-1]
     routed = spark.read.parquet(path)
-    assert (spark.read.parquet(f"{root}-customers").count()
-            == routed.where("status = 'accepted'").count() > 0)
-    assert (spark.read.parquet(f"{root}-email_error_log").count()
-            == routed.where("status = 'rejected'").count() > 0)
+    from opticart.sql import register_intake
+    assert register_intake(spark, root) == ["new_customers", "email_error_log"]
+    assert spark.table("new_customers").count() == routed.where("status = 'accepted'").count() > 0
+    assert spark.table("email_error_log").count() == routed.where("status = 'rejected'").count() > 0
 
 
 def test_submitted_settings_stay(tmp_path):

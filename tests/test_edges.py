@@ -254,3 +254,31 @@ def test_add_customer_single_call(spark):
     assert ok["status"] == "accepted" and ok["customer_id"] == 8
     bad = intake.add_customer(t, "Dana", "Levi", "dana.shop.org").first()
     assert bad["status"] == "rejected" and bad["error_number"] == 51001 and bad["log_id"] == 1
+
+
+def test_a_crashed_intake_changes_neither_table(spark, tmp_path):
+    """Both tables are views on one write; without its mark nothing of it is seen."""
+    import os
+    from opticart.sources.sinks import snapshot_path
+    t = make(spark, customers=[(7, "a", "b", "x@y.com")])
+    root = str(tmp_path / "routed")
+
+    def tables():
+        rows = intake.read_routed(spark, root)
+        return (sorted(r.customer_id for r in intake.accepted_customers(rows).collect()),
+                sorted(r.log_id for r in intake.email_error_log(rows).collect()))
+
+    def run(version, emails):
+        feed = spark.createDataFrame([(i, "f", "l", e) for i, e in enumerate(emails)],
+                                     "feed_seq long, first_name string, last_name string, "
+                                     "email string")
+        intake.write_intake(intake.customer_intake(t, feed=feed), root, version)
+
+    assert tables() == ([], [])
+    run(1, ["a@b.com", "bad"])
+    run(2, ["c@d.com", "e@f.com", "bad", "worse"])
+    assert tables() == ([8, 8, 9], [1, 1, 2])      # each run alone: ids are not continued here
+    os.remove(f"{snapshot_path(root, 2)}/_SUCCESS")    # as if the second had not ended
+    assert tables() == ([8], [1])
+    run(2, ["c@d.com"])                                # the retry, now without a reject
+    assert tables() == ([8, 8], [1])

@@ -67,7 +67,7 @@ def test_intake_without_its_history_fails(spark, tables):
     feed.limit(5).write.mode("append").parquet(path)
     with pytest.raises(StreamingQueryException):
         intake_stream.start_intake_stream(spark, t, path, **args).awaitTermination()
-    assert spark.read.parquet(f"{base}/customers").select("version").distinct().count() == 1
+    assert spark.read.parquet(f"{base}/routed").select("version").distinct().count() == 1
 
 
 def test_stream_prices_with_current_options(spark, tmp_path):
