@@ -135,29 +135,55 @@ def leak_ctes(source: str) -> str:
       SELECT d.dk, d.doc_id, b.ik, b.item_id, b.pos AS ipos, d.pos AS pos, b.n_windows
       FROM dk_win d JOIN bw b ON d.g = b.g AND d.n = {dc.WINDOW}
     ), slots AS (
-      SELECT DISTINCT h.dk, h.ik, h.pos - h.ipos AS diagonal, i.w AS iw, t.w AS dw
+      SELECT h.dk, h.ik, h.pos - h.ipos AS diagonal, h.ipos, i.pos AS place, i.w AS iw, t.w AS dw
       FROM hits h, range({dc.WINDOW}) r(k)
       JOIN ik_typed i ON i.ik = h.ik AND i.pos = h.ipos + k AND i.slot
       JOIN dk_typed t ON t.dk = h.dk AND t.pos = h.pos + k
-    ), runs AS (
-      SELECT dk, ik, diagonal, bool_and(iw = dw) AS same,
-             count(*) = count(DISTINCT iw) AS consistent
-      FROM slots GROUP BY ALL
+    ), votes AS (
+      SELECT dk, ik, diagonal, iw, dw, count(DISTINCT place) AS n FROM slots GROUP BY ALL
+    ), stands_for AS (
+      SELECT dk, ik, diagonal, iw, dw AS most FROM votes
+      QUALIFY row_number() OVER (PARTITION BY dk, ik, diagonal, iw
+                                 ORDER BY n DESC, iw <> dw, dw) = 1
+    ), judged_windows AS (
+      SELECT dk, ik, diagonal, ipos, bool_and(dw = most) AS agrees, bool_and(dw = iw) AS same
+      FROM slots JOIN stands_for USING (dk, ik, diagonal, iw) GROUP BY ALL
     ), covered AS (
       SELECT h.dk, h.doc_id, h.ik, h.item_id, h.n_windows, h.ipos,
              bool_or(coalesce(r.same, true)) AS same
-      FROM hits h LEFT JOIN runs r ON r.dk = h.dk AND r.ik = h.ik AND r.diagonal = h.pos - h.ipos
-      WHERE coalesce(r.consistent, true) GROUP BY ALL
-    ), leaking AS (
+      FROM hits h LEFT JOIN judged_windows r
+        ON r.dk = h.dk AND r.ik = h.ik AND r.diagonal = h.pos - h.ipos AND r.ipos = h.ipos
+      WHERE coalesce(r.agrees OR r.same, true) GROUP BY ALL
+    ), half AS (
       SELECT dk, doc_id, item_id, n_windows, count(*) AS n_found, bool_and(same) AS exact
       FROM covered GROUP BY dk, doc_id, ik, item_id, n_windows
       HAVING count(*) * {dc.MIN_SHARE[1]} >= n_windows * {dc.MIN_SHARE[0]}
+    ), ik_low AS (
+      SELECT ik, item_id, list(lower(w) ORDER BY pos) AS ws, least(count(*), {dc.RUN}) AS n
+      FROM ik_words GROUP BY ik, item_id HAVING count(*) >= {dc.WINDOW}
+    ), dk_low AS (
+      SELECT dk, doc_id, list(lower(w) ORDER BY pos) AS ws FROM dk_words GROUP BY dk, doc_id
+    ), ik_run AS (
+      SELECT ik, item_id, n, array_to_string(ws[p:p + n - 1], ' ') AS g
+      FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS p FROM ik_low)
+    ), dk_run AS (
+      SELECT dk, doc_id, n, array_to_string(ws[p:p + n - 1], ' ') AS g
+      FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS p
+            FROM dk_low, (SELECT DISTINCT n FROM ik_low) WHERE len(ws) >= n)
+    ), verbatim_runs AS (
+      SELECT DISTINCT dk, doc_id, ik, item_id FROM dk_run JOIN ik_run USING (n, g)
+    ), leaking AS (
+      SELECT dk, doc_id, item_id, n_windows, n_found, exact, false AS verbatim FROM half
+      UNION ALL
+      SELECT dk, doc_id, v.item_id, coalesce(b.n_windows, 0), 0, NULL, true
+      FROM verbatim_runs v LEFT JOIN (SELECT DISTINCT ik, n_windows FROM bw) b USING (ik)
     )"""
 
 
 OP9 = f"""WITH {leak_ctes('documents')}
 SELECT doc_id, item_id, max(n_windows)::BIGINT AS n_windows, max(n_found)::BIGINT AS n_found,
-       bool_or(exact) AS exact FROM leaking GROUP BY dk, doc_id, item_id"""
+       coalesce(bool_or(exact), true) AS exact, bool_or(verbatim) AS verbatim
+FROM leaking GROUP BY dk, doc_id, item_id"""
 
 
 def line_ctes(source: str) -> str:

@@ -251,17 +251,54 @@ ITEM = ("Alice buys 12 apples and gives Bob 5 of them. How many apples does Alic
         "walks 3 miles home and eats 2 apples?")
 
 
+# every window holds the name, so a name that changes each time contradicts most of them
+SUMS = ("Tom had one apple more than Tom had pears then Tom ate half of all that Tom kept "
+        "for the way back when Tom went home")
+
+
 def test_decontamination_slots(spark, frame):
-    bench = spark.createDataFrame([(7, ITEM), (8, None), (9, "too short"), (7, ITEM)],
-                                  "item_id long, text string").withColumnRenamed("x", "y")
+    bench = spark.createDataFrame([(7, ITEM), (8, None), (9, "too short"), (7, ITEM), (10, SUMS),
+                                   (12, "FIVE CAPITAL WORDS ALONE HERE")],
+                                  "item_id long, text string")
     changed = ITEM.replace("Alice", "Karl").replace("Bob", "Dana").replace("12", "40").replace(
         "miles", "kilometers")
     mixed = ITEM.replace("Alice", "Karl", 1).replace("12", "40")  # Alice is two persons now
+    scrambled = SUMS.replace("Tom", "{}").format("Ann", "Bea", "Cem", "Dan", "Eva")
     docs = frame([(1, "Before. " + ITEM + " After."), (2, changed), (3, mixed), (4, None), (5, ""),
                   (6, ITEM.split(" How")[0][:20]), (1, "Before. " + ITEM + " After."),
-                  (None, changed), (11, "some other text that has nothing of the question in it")])
-    got = {(r.doc_id, r.item_id): r.exact for r in decontaminate.leaks(docs, bench).collect()}
-    assert got == {(1, 7): True, (2, 7): False, (None, 7): False}
+                  (None, changed), (11, "some other text that has nothing of the question in it"),
+                  (12, scrambled), (13, SUMS.replace("Tom", "Ann")), (14, ITEM.lower()),
+                  (15, "x " + " ".join(ITEM.split()[:13]) + " y"),
+                  (16, "x " + " ".join(ITEM.split()[:12]) + " y"),
+                  (17, "here: five capital words alone here."), (18, "word " * 9000 + ITEM)])
+    got = {(r.doc_id, r.item_id): (r.exact, r.verbatim, r.n_found > 0)
+           for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == {
+        (1, 7): (True, True, True), (2, 7): (False, False, True), (None, 7): (False, False, True),
+        (3, 7): (False, True, True), (13, 10): (False, False, True), (14, 7): (True, True, False),
+        (15, 7): (True, True, False), (17, 12): (True, True, False), (18, 7): (True, True, True)}
+
+
+@pytest.mark.parametrize("limit", [10 ** 6, -1])
+def test_decontamination_recall(spark, frame, monkeypatch, limit):
+    """Shares of an item, other case and one changed word, wherever 13 words stay."""
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_ROWS", limit)
+    items = [(r.item_id, r.text.split()) for r in
+             spark.read.parquet(f"{SMALL}/benchmark.parquet").collect() if r.text]
+    items = [(i, w) for i, w in items if len(w) >= 13]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    rng = random.Random(4)
+    docs, wanted = [], set()
+    for i, w in items:
+        middle = len(w) // 2
+        for kind, part in enumerate([w[:len(w) * s // 100] for s in (40, 60, 80, 100)]
+                                    + [[x.lower() for x in w], w[:middle] + ["qqq"] + w[middle + 1:]]):
+            doc = 10 * i + kind
+            docs.append((doc, f"{sentence(rng, 20)} {' '.join(part)} {sentence(rng, 20)}"))
+            if (len(part) >= 13 and kind != 5) or max(middle, len(w) - middle - 1) >= 13 and kind == 5:
+                wanted.add((doc, i))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(docs), bench).collect()}
+    assert len(wanted) > 3 * len(items) and wanted <= got
 
 
 @pytest.mark.parametrize("limit", [10 ** 6, -1])
