@@ -9,9 +9,8 @@ from tests.conftest import SMALL
 
 QUERIES = registry.queries()
 # Single-partition exchanges that sit on bounded inputs (besides the partial
-# results of global aggregates): the per-country window total, the per-year
-# LAG, and the ranking's offsets window over one row per range partition.
-BOUNDED_SINGLE = {"country_efficiency": 1, "revenue_vs_target": 1, "search_to_order_quartile": 1,
+# results of global aggregates): the per-country window total and the per-year LAG.
+BOUNDED_SINGLE = {"country_efficiency": 1, "revenue_vs_target": 1,
                   "revenue_of_stored_totals": 1}      # its LAG runs on a row per year
 
 
