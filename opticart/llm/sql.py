@@ -199,12 +199,11 @@ def line_ctes(source: str) -> str:
       SELECT rid, dk, hash(text) AS mk, unnest(range(len(ls))) AS line, unnest(ls) AS value
       FROM (SELECT rid, dk, text, string_split(text, chr(10)) AS ls FROM ld)
     ), lset AS (
-      SELECT rid, dk, mk, line, list_sort(list_distinct(CASE
-          WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-          ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
-        END)) AS k
-      FROM (SELECT *, regexp_extract_all(value, '[^\x20\x09-\x0D]+') AS ws FROM lln)
-      WHERE len(ws) > 0
+      SELECT rid, dk, mk, line, list_sort(list(w || ' ' || nth)) AS k
+      FROM (SELECT *, row_number() OVER (PARTITION BY rid, line, w) AS nth
+            FROM (SELECT rid, dk, mk, line,
+                         unnest(regexp_extract_all(value, '[^\x20\x09-\x0D]+')) AS w FROM lln))
+      GROUP BY rid, dk, mk, line
     ), lfirst AS (
       SELECT row_number() OVER () AS lid, k, min({{'d': dk, 'l': line, 'm': mk}}) AS p, len(k) AS n
       FROM lset GROUP BY k

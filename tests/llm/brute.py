@@ -68,12 +68,21 @@ def near_classes(rows, n=5):
 def late_lines(rows):
     """Texts of (id, text) rows without the lines similar to an earlier one.
 
-    Rows of equal id and text are one document.
+    A line is the set of its words, a repeated word with the number of its
+    occurrence. Rows of equal id and text are one document.
     """
+    def numbered(line):
+        seen = Counter()
+        out = set()
+        for w in words(line):
+            seen[w] += 1
+            out.add((w, seen[w]))
+        return out
+
     lines = []
     for i, (d, t) in enumerate(rows):
         for k, line in enumerate((t or "").split("\n") if t is not None else []):
-            s = grams(line)
+            s = numbered(line)
             if s:
                 key = (-1 if d is None else d, k)
                 lines.append((key, i, k, s))
