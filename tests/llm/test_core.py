@@ -199,6 +199,24 @@ def test_line_dedup_edges(frame, edge_pairs, monkeypatch, limit, frame_size):
     line_dedup.dedup_lines(frame(edge_pairs)).collect()  # null and shared ids do not fail
 
 
+@pytest.mark.parametrize("frame_size", [1024, 2])
+@pytest.mark.parametrize("limit", [10 ** 6, -1])
+def test_line_dedup_heavy_groups(frame, monkeypatch, frame_size, limit):
+    """Similar lines that share only very frequent tokens, in groups shorter than a frame."""
+    rng = random.Random(3)
+    pool = [sentence(rng, 1) for _ in range(14)]
+    lines = [" ".join(rng.sample(pool, rng.randint(4, 13))) for _ in range(120)]
+    pairs = [(d, "\n".join(lines[d * 4:d * 4 + 4])) for d in range(30)]
+    pairs[7] = (None, pairs[7][1])
+    monkeypatch.setattr(line_dedup, "MAX_BROADCAST_ROWS", limit)
+    monkeypatch.setattr(line_dedup, "FRAME", frame_size)
+    monkeypatch.setattr(line_dedup, "HEAVY", 3)
+    rng.shuffle(pairs)
+    got = line_dedup.dedup_lines(frame(pairs)).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(
+        (d, t) for (d, _), t in zip(pairs, brute.late_lines(pairs)))
+
+
 def test_drop_lines_keeps_columns(frame, edge_pairs):
     df = frame(edge_pairs)
     got = line_dedup.drop_lines(df)
