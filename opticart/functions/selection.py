@@ -54,6 +54,12 @@ def _at_rank(df: DataFrame, name: str, bucket: Callable[[Column, Any, Any], Colu
     return lo, rank, ties
 
 
+def at_rank(df: DataFrame, name: str, rank: int) -> float:
+    """The value at a 1-based rank of a column of finite doubles."""
+    ends = df.agg(F.min(name).alias("lo"), F.max(name).alias("hi")).first()
+    return _at_rank(df, name, _of_double, ends.lo, ends.hi, rank)[0]
+
+
 def first_bucket(df: DataFrame, k: int, key: str, tie: str) -> Column:
     """Whether a row is in bucket 1 of NTILE(k) OVER (ORDER BY key DESC NULLS LAST, tie).
 

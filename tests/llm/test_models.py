@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -77,6 +78,36 @@ def test_quality_edges(spark, frame, edge_pairs):
     assert {r.score for r in quality_rank.rank(frame(edge_pairs), one).collect()} == {1.0}
 
 
+def test_quality_learns_from_every_pair(spark):
+    """Weights, cut and spread are those of all labelled rows, not of some of them."""
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").repartition(3, "doc_id")
+    labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    featured = quality_rank.featurise(docs)
+    rows = featured.join(labels.selectExpr("doc_id", "quality = 1 AS good"), "doc_id")
+    got = quality_rank.fit(rows)
+    data = rows.collect()
+    x, good = np.array([r.x for r in data]), np.array([r.good for r in data])
+    assert len(data) > 200
+    assert np.allclose(got.mean, x.mean(axis=0))
+    z = np.clip((x - got.mean) / got.scale, -8, 8)
+    d = (z[good][:, None] - z[~good][None]).reshape(-1, x.shape[1])
+
+    def loss(w):
+        return np.logaddexp(0, -d @ w).mean() + quality_rank.RIDGE / 2 * w @ w
+
+    w = np.zeros(x.shape[1])
+    for _ in range(20):
+        lose = 1 / (1 + np.exp(d @ w))
+        hessian = (d * (lose * (1 - lose))[:, None]).T @ d / len(d)
+        w += np.linalg.solve(hessian + quality_rank.RIDGE * np.eye(len(w)),
+                             d.T @ lose / len(d) - quality_rank.RIDGE * w)
+    assert loss(w) <= loss(got.weights) <= 1.01 * loss(w)
+    raw = np.sort(got.raw(x))
+    k = int((~good).sum())
+    assert np.isclose(got.cut, (raw[k - 1] + raw[k]) / 2)
+    assert np.isclose(got.slope, quality_rank.SLOPE / raw.std())
+
+
 # ----------------------------------------------------------------------- pii
 KEY = b"test key"
 
