@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from opticart.operators import annual, overview, totals
 from opticart.params import DEFAULT, Params
 from opticart.session import drop_path, file_system, shared_path
-from opticart.sources.bucket_table import BucketTable
+from opticart.sources.bucket_table import BucketTable, buckets_for
 from opticart.sources.conform import Tables
 
 PAIR, CELL = ["order_id", "product_id"], ["product_id", "order_date", "country", "known"]
@@ -150,12 +150,12 @@ class KeptLines:
         return annual.product_annual_stats(self.t, p, by_year)
 
 
-BUCKETS = 8      # of the replays
+BUCKETS = 8      # of the replays, at least
 
 
 def _replayed(t: Tables) -> KeptLines:
     kept = KeptLines.create(t, t.line_base(False), t.line_base(True),
-                            shared_path(t.spark, "kept"), BUCKETS)
+                            shared_path(t.spark, "kept"), buckets_for(t.raw("lineitem"), BUCKETS))
     kept.refresh(1, t.line_changes(False), t.line_changes(True))
     return kept
 

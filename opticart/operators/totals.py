@@ -20,7 +20,7 @@ from opticart.functions.email import collated
 from opticart.operators.common import stored_line_amounts
 from opticart.params import DEFAULT, Params
 from opticart.session import shared_path
-from opticart.sources.bucket_table import BucketTable
+from opticart.sources.bucket_table import BucketTable, buckets_for
 from opticart.sources.conform import Tables
 
 # DECIMAL(10,2) in the reference; widened so a large order cannot overflow.
@@ -153,14 +153,14 @@ def keep_totals(stored: BucketTable, change_set: int, plain: DataFrame | None =
     return stored.update(custom, change_set, apply_custom_line_deltas)
 
 
-TOTAL_BUCKETS = 16      # of the replay; a deployment takes a few hundred MB per bucket
+TOTAL_BUCKETS = 16      # of the replay, at least; a deployment takes a few hundred MB per bucket
 
 
 def totals_kept_in_place(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """D14 and D15 over the data, on a stored table: totals of the fulfilled lines, changed
     by the plain-line change set and then by that of the customised lines."""
     stored = BucketTable.create(stored_totals_before(t), shared_path(t.spark, "totals"),
-                                "order_id", TOTAL_BUCKETS)
+                                "order_id", buckets_for(t.raw("orders"), TOTAL_BUCKETS))
     keep_totals(stored, 1, plain=plain_line_deltas(t, t.line_changes(False)))
     keep_totals(stored, 2, custom=custom_line_deltas(t, t.line_changes(True)))
     return stored.read()

@@ -24,6 +24,12 @@ from pyspark.sql import types as T
 from opticart.session import drop_path
 
 BUCKET, APPLIED = "_bucket", "_applied"
+ROWS = 500_000       # of a bucket, which one task sorts and writes
+
+
+def buckets_for(df: DataFrame, least: int) -> int:
+    """So many buckets that the rows of ``df`` make about ``ROWS`` each, at least ``least``."""
+    return max(least, -(-df.count() // ROWS))
 
 
 class BucketTable:

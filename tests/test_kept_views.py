@@ -9,6 +9,7 @@ from opticart.operators import annual, kept, overview
 from opticart.params import DEFAULT
 from opticart.plans.inspect import plan_text
 from opticart.session import shared_path
+from opticart.sources import bucket_table
 from opticart.sources.frames import FrameTables
 from opticart.sources.sinks import snapshot_path
 from tests.helpers import multiset, spark_rows
@@ -94,3 +95,13 @@ def test_a_refresh_reads_no_lines(spark, tables):
     changes = spark.read.parquet(path)
     for df in (state.increments(changes), state.overview(), state.annual_stats()):
         assert "lineitem" not in plan_text(df)
+
+
+def test_buckets_follow_the_input(tables, monkeypatch):
+    """A bucket is sorted and written by one task, so larger tables get more of them."""
+    monkeypatch.setattr(bucket_table, "ROWS", 100)
+    lines = tables.raw("lineitem").count()
+    state = kept._replayed(tables)
+    assert state.pairs.buckets == state.cells.buckets == -(-lines // 100) > kept.BUCKETS
+    largest = max(r["count"] for r in state.pairs._rows().groupBy("_bucket").count().collect())
+    assert largest <= 200
