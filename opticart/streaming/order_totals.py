@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opticart.functions.blocks import VKEY, version_extras, with_version_prices
+from opticart.functions.skew import split_join
 from opticart.session import drop_path, file_system, shared_path
 from opticart.sources.conform import Tables
 
@@ -116,7 +117,10 @@ def merged_sets(batch: DataFrame, before: DataFrame) -> DataFrame:
         (F.sum("units") + F.sum("new_units")).alias("units"))
     arrived = groups.groupBy("change_set").agg(
         F.coalesce(F.sum("rows") < F.max("set_rows"), F.lit(False)).alias("open"))
-    return groups.join(arrived, "change_set")
+    # a change set may be the whole batch: its groups are dealt to several tasks
+    named = (batch.select("change_set").where(F.col("change_set").isNotNull())
+             .unionAll(before.where("open").select("change_set")))
+    return split_join(groups, arrived, ["change_set"], F.struct("order_id", *VKEY), measure=named)
 
 
 def added_by_batch(batch: DataFrame, sets: DataFrame) -> DataFrame:

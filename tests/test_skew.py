@@ -13,6 +13,7 @@ from opticart import oracle, registry
 from opticart.functions import skew
 from opticart.plans.inspect import plan_text
 from opticart.sources.frames import FrameTables
+from opticart.streaming import order_totals
 from tests.helpers import same_result
 
 HOT_PRODUCT = 3          # a customisable frame that exists in products
@@ -222,3 +223,25 @@ def test_searches_are_reduced_before_the_semi_join(skewed):
     text = plan_text(nested.searched_never_bought(skewed[0]), "simple")
     right = text[text.index("LeftSemi"):]
     assert "HashAggregate(keys=[product_id" in right
+
+
+def test_one_change_set_is_dealt_to_several_tasks(spark):
+    """A batch that is one change set does not meet its size in one task."""
+    rows = spark.range(2000).selectExpr(
+        "'I' op", "'plain' kind", "id order_id", "id % 7 product_id", "cast(null as int) version",
+        "1 units", "if(id < 0, 2L, 1L) change_set", "2000L set_rows").localCheckpoint()
+    before = spark.createDataFrame([], order_totals.SETS)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
+                                          "spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        sets = order_totals.merged_sets(rows, before).withColumn("task", F.spark_partition_id())
+        got = sets.groupBy("task").agg(F.count("*").alias("n"), F.max("open").alias("o")).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(r.n for r in got) == 2000 and not any(r.o for r in got)
+    assert max(r.n for r in got) < 1000
